@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import hashlib
+import shutil
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -9,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gallery.standins import RAW, TABLES
 from sparkmart.plans import entities, spec
+from sparkmart.sources.scan import spread
+from sparkmart.sources.tables import staging_folder
 
 
 @dataclass(frozen=True)
@@ -35,6 +42,17 @@ def example(covers: str, sql: str | None = None, name: str | None = None):
     return register
 
 
+_PUBLISHED: set[str] = set()
+
+
+@functools.cache
+def scratch() -> str:
+    """A folder of this process, used only where the session names no shared one."""
+    folder = tempfile.mkdtemp(prefix="sparkmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 class Tables:
     """The test tables of one folder, the raw entities derived from them, and their cleansed rows."""
 
@@ -48,6 +66,9 @@ class Tables:
     def raw(self, entity: str) -> DataFrame:
         text = RAW[entity]
         used = {t: self.table(t) for t in TABLES if f"{{{t}}}" in text}
+        for name in ("orders", "lineitem"):
+            if name in used:
+                used[name] = spread(used[name])
         return self.spark.sql(text, **used)
 
     def clean(self, entity: str) -> DataFrame:
@@ -55,3 +76,24 @@ class Tables:
 
     def cleansed(self, entity: str) -> DataFrame:
         return spec.admit(self.clean(entity), entities.ENTITIES[entity])
+
+    def place(self, name: str) -> str:
+        """Where this session keeps a written table derived from this folder."""
+        context = self.spark.sparkContext.applicationId
+        source = hashlib.md5(self.folder.encode()).hexdigest()[:8]
+        return f"{staging_folder(self.spark, scratch())}/sparkmart-{context}-{source}/{name}"
+
+    def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table as the warehouse publishes it: written once per session, then read.
+
+        Reports read facts, and facts read cleansed tables, so nothing is cleaned again for
+        every report. A written table also survives lost executors.
+        """
+        path = self.place(name)
+        if path not in _PUBLISHED:
+            build().write.mode("overwrite").parquet(path)
+            _PUBLISHED.add(path)
+        return self.spark.read.parquet(path)
+
+    def published_entity(self, entity: str) -> DataFrame:
+        return self.published(f"cleansed_{entity}", lambda: self.cleansed(entity))

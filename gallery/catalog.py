@@ -1,6 +1,6 @@
 """All example queries."""
 
-from gallery import cleaning, profiling, star  # noqa: F401
+from gallery import cleaning, profiling, reports, star  # noqa: F401
 from gallery.base import EXAMPLES
 
 __all__ = ["EXAMPLES"]

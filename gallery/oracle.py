@@ -367,8 +367,8 @@ CTES["dim_payment_type"] = (
     f"SELECT * FROM (VALUES {_values(PAYMENT_TYPE_ROWS)}) AS v(payment_type_key, payment_type_name, source_value)"
 )
 CTES["days"] = (
-    "SELECT cast(unnest(generate_series(cast(min(order_purchase_timestamp) AS date), "
-    "cast(max(order_purchase_timestamp) AS date), INTERVAL 1 DAY)) AS date) AS d FROM live_orders"
+    "SELECT cast(unnest(generate_series(cast(min(o_orderdate) AS date), cast(max(o_orderdate) AS date), "
+    "INTERVAL 1 DAY)) AS date) AS d FROM orders"
 )
 CTES["dim_date"] = """
 SELECT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, d AS full_date, year(d) AS year, isoyear(d) AS iso_year,

@@ -23,48 +23,66 @@ class Star:
 
     def __init__(self, t: Tables):
         self.t = t
-        self.orders = t.cleansed("orders")
-        self.geo = t.cleansed("geolocation")
 
-    def dim(self, dimension: mart.Dimension, source: DataFrame) -> DataFrame:
+    def load(self, dimension: mart.Dimension, source: DataFrame) -> DataFrame:
         start = dimension.empty(self.t.spark, NOW)
         return merge.merge_dimension(start, source, dimension.natural, dimension.surrogate, F.lit(NOW)).drop("_action")
 
-    def customer_source(self) -> DataFrame:
-        return mart.customer_source(self.t.cleansed("customers"), self.geo)
+    def load_customers(self) -> DataFrame:
+        entity = self.t.published_entity
+        zips = hot_values(entity("customers"), ["customer_zip_code_prefix"])["customer_zip_code_prefix"]
+        return self.load(mart.DIM_CUSTOMER, mart.customer_source(entity("customers"), entity("geolocation"), zips))
+
+    def load_sellers(self) -> DataFrame:
+        entity = self.t.published_entity
+        zips = hot_values(entity("sellers"), ["seller_zip_code_prefix"])["seller_zip_code_prefix"]
+        return self.load(mart.DIM_SELLER, mart.seller_source(entity("sellers"), entity("geolocation"), zips))
+
+    def load_products(self) -> DataFrame:
+        entity = self.t.published_entity
+        kinds = hot_values(entity("products"), ["product_category_name"])["product_category_name"]
+        return self.load(
+            mart.DIM_PRODUCT,
+            mart.product_source(entity("products"), entity("product_category_name_translation"), kinds),
+        )
+
+    def build_dates(self) -> DataFrame:
+        return mart.covering_date_dim(self.t.table("orders"), "o_orderdate")
+
+    def build_sales(self) -> DataFrame:
+        entity = self.t.published_entity
+        items, orders = entity("order_items"), entity("orders")
+        hot = {**hot_values(items, ["order_id", "seller_id", "product_id"]), **hot_values(orders, ["customer_id"])}
+        return mart.fact_sales(
+            items, orders, entity("order_reviews"), self.dates(), self.customers(), self.sellers(), self.products(),
+            order_status_dim(self.t.spark), hot,
+        )
+
+    def build_payments(self) -> DataFrame:
+        entity = self.t.published_entity
+        payments, orders = entity("order_payments"), entity("orders")
+        hot = {**hot_values(payments, ["order_id"]), **hot_values(orders, ["customer_id"])}
+        return mart.fact_payments(
+            payments, orders, self.dates(), self.customers(), payment_type_dim(self.t.spark), hot,
+        )
 
     def customers(self) -> DataFrame:
-        return self.dim(mart.DIM_CUSTOMER, self.customer_source())
+        return self.t.published("dim_customer", self.load_customers)
 
     def sellers(self) -> DataFrame:
-        return self.dim(mart.DIM_SELLER, mart.seller_source(self.t.cleansed("sellers"), self.geo))
-
-    def product_source(self) -> DataFrame:
-        return mart.product_source(
-            self.t.cleansed("products"), self.t.cleansed("product_category_name_translation"))
+        return self.t.published("dim_seller", self.load_sellers)
 
     def products(self) -> DataFrame:
-        return self.dim(mart.DIM_PRODUCT, self.product_source())
+        return self.t.published("dim_product", self.load_products)
 
     def dates(self) -> DataFrame:
-        return mart.covering_date_dim(self.orders, "order_purchase_timestamp")
+        return self.t.published("dim_date", self.build_dates)
 
     def sales(self) -> DataFrame:
-        """Heavy keys are looked up in the raw tables, one narrow scan each."""
-        hot = hot_values(self.t.raw("order_items"), ["order_id", "seller_id", "product_id"])
-        buyers = hot_values(self.t.raw("orders"), ["customer_id"])
-        return mart.fact_sales(
-            self.t.cleansed("order_items"), self.orders, self.t.cleansed("order_reviews"), self.dates(),
-            self.customers(), self.sellers(), self.products(), order_status_dim(self.t.spark), {**hot, **buyers},
-        )
+        return self.t.published("fact_sales", self.build_sales)
 
     def payments(self) -> DataFrame:
-        hot = hot_values(self.t.raw("order_payments"), ["order_id"])
-        buyers = hot_values(self.t.raw("orders"), ["customer_id"])
-        return mart.fact_payments(
-            self.t.cleansed("order_payments"), self.orders, self.dates(), self.customers(),
-            payment_type_dim(self.t.spark), {**hot, **buyers},
-        )
+        return self.t.published("fact_payments", self.build_payments)
 
 
 _PLACE = "{p}_zip_code, {p}_city, {p}_state, {p}_state_name, cast({p}_lat AS string) AS {p}_lat, cast({p}_lng AS string) AS {p}_lng"
@@ -79,7 +97,7 @@ def _place_columns(prefix: str) -> list[str]:
 SELECT customer_key, customer_id, customer_unique_id, {_PLACE.format(p='customer')}, row_hash FROM dim_customer"""))
 def dim_customer(t: Tables):
     """Customer dimension with spots, state names and surrogates."""
-    return Star(t).customers().selectExpr(
+    return Star(t).load_customers().selectExpr(
         "customer_key", "customer_id", "customer_unique_id", *_place_columns("customer"), "lower(hex(row_hash)) AS row_hash")
 
 
@@ -87,7 +105,7 @@ def dim_customer(t: Tables):
 SELECT seller_key, seller_id, {_PLACE.format(p='seller')}, row_hash FROM dim_seller"""))
 def dim_seller(t: Tables):
     """Seller dimension."""
-    return Star(t).sellers().selectExpr(
+    return Star(t).load_sellers().selectExpr(
         "seller_key", "seller_id", *_place_columns("seller"), "lower(hex(row_hash)) AS row_hash")
 
 
@@ -99,7 +117,7 @@ _PRODUCT = ["product_key", "product_id", "product_category_name", "product_categ
 @example("M-03, M-04, M-05, M-08, F-14", with_ctes(f"SELECT {', '.join(_PRODUCT)}, row_hash FROM dim_product"))
 def dim_product(t: Tables):
     """Product dimension with display labels."""
-    return Star(t).products().selectExpr(*_PRODUCT, "lower(hex(row_hash)) AS row_hash")
+    return Star(t).load_products().selectExpr(*_PRODUCT, "lower(hex(row_hash)) AS row_hash")
 
 
 _DATE = [
@@ -112,7 +130,7 @@ _DATE = [
 @example("M-05, M-09, S-11, J-11, W-06, F-15..F-20", with_ctes(f"SELECT {', '.join(_DATE)} FROM dim_date"))
 def dim_date(t: Tables):
     """Every day between the first and the last purchase, with calendar labels."""
-    return Star(t).dates().selectExpr(*_DATE)
+    return Star(t).build_dates().selectExpr(*_DATE)
 
 
 @example("M-10, S-10, J-10", with_ctes("""
@@ -122,7 +140,7 @@ def order_status_use(t: Tables):
     """Status lookup, seeded twice without effect, with the orders of each status."""
     statuses = order_status_dim(t.spark)
     statuses = merge.insert_missing(statuses, order_status_dim(t.spark), "order_status_key")
-    used = t.cleansed("orders").groupBy(F.col("order_status").alias("source_value")).agg(F.count("*").alias("orders"))
+    used = t.published_entity("orders").groupBy(F.col("order_status").alias("source_value")).agg(F.count("*").alias("orders"))
     return statuses.join(used, "source_value", "left").select(
         "order_status_key", "status_name", "status_category", "sort_order",
         F.coalesce("orders", F.lit(0)).alias("orders"))
@@ -134,7 +152,7 @@ FROM dim_payment_type LEFT JOIN live_order_payments p ON p.payment_type = source
 def payment_type_use(t: Tables):
     """Payment-type lookup with the payments of each type."""
     types = merge.insert_missing(payment_type_dim(t.spark), payment_type_dim(t.spark), "payment_type_key")
-    used = t.cleansed("order_payments").groupBy(F.col("payment_type").alias("source_value")).agg(
+    used = t.published_entity("order_payments").groupBy(F.col("payment_type").alias("source_value")).agg(
         F.count("*").alias("payments"))
     return types.join(used, "source_value", "left").select(
         "payment_type_key", "payment_type_name", F.coalesce("payments", F.lit(0)).alias("payments"))
@@ -196,7 +214,7 @@ _SALES = [
 @example("M-12, J-01..J-07, F-21, F-22, F-27, F-28", with_ctes(f"SELECT {', '.join(_SALES)} FROM fact_sales"))
 def fact_sales(t: Tables):
     """Sales fact."""
-    return Star(t).sales().selectExpr(*_SALES)
+    return Star(t).build_sales().selectExpr(*_SALES)
 
 
 _PAYMENTS = [
@@ -208,4 +226,4 @@ _PAYMENTS = [
 @example("M-13, J-01, J-02, J-03", with_ctes(f"SELECT {', '.join(_PAYMENTS)} FROM fact_payments"))
 def fact_payments(t: Tables):
     """Payments fact."""
-    return Star(t).payments().selectExpr(*_PAYMENTS)
+    return Star(t).build_payments().selectExpr(*_PAYMENTS)

@@ -25,7 +25,7 @@ def whole_average(c: Column) -> Column:
 def fixed(c: Column, digits: int, grouped: bool = False) -> Column:
     """Text with a set number of decimals, rounded half away from zero."""
     pattern = ("#,##0" if grouped else "0") + ("." + "0" * digits if digits else "")
-    return F.format_number(F.round(c, digits), pattern)
+    return F.call_function("format_number", F.round(c, digits), F.lit(pattern))
 
 
 def percent_text(c: Column) -> Column:

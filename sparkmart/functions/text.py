@@ -18,8 +18,9 @@ _PLACEHOLDER = "\ue000"
 
 
 def strip_quotes(c: Column) -> Column:
-    """Trim blanks, then drop every double quote."""
-    return F.replace(F.trim(c), F.lit('"'), F.lit(""))
+    """Trim blanks, then drop every double quote (most values have none)."""
+    trimmed = F.trim(c)
+    return F.when(c.contains('"'), F.replace(trimmed, F.lit('"'), F.lit(""))).otherwise(trimmed)
 
 
 def normalise_text(c: Column) -> Column:

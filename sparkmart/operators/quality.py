@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sparkmart.functions import text
 
@@ -102,12 +103,36 @@ def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(F.array(*lines))).where("affected_row_count > 0")
 
 
-def admitted(rules: Sequence[Rule]) -> Column:
-    """True when no rejecting rule fails."""
+def passes(rules: Sequence[Rule]) -> Column:
+    """True when no rejecting rule fails; the long form of an entity's admission tests."""
     tests = [~rule.test() for rule in rules if rule.rejects]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def is_filled(column: str) -> Column:
+    return ~text.is_blank(F.col(column))
+
+
+def is_hex_id(column: str) -> Column:
+    return text.is_code(F.col(column), "0-9a-f", 32)
+
+
+def is_zip_code(column: str) -> Column:
+    return text.is_code(F.col(column), "0-9", 5)
+
+
+def is_state_code(column: str) -> Column:
+    return text.is_code(F.col(column), "A-Z", 2)
+
+
+def is_digits(column: str) -> Column:
+    return F.col(column).rlike(r"\A[0-9]+\z")
+
+
+def is_present(column: str) -> Column:
+    return F.col(column).isNotNull()
+
+
 def sort_terms(order: Sequence[tuple[str, str]]) -> list[Column]:
     """Struct fields that compare like an ascending sort; each entry is (column, first or last)."""
     terms: list[Column] = []
@@ -118,39 +143,56 @@ def sort_terms(order: Sequence[tuple[str, str]]) -> list[Column]:
     return [term.alias(f"s{i}") for i, term in enumerate(terms)]
 
 
-def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
-    """The first row of every key.
+def _top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row per key.
 
-    A minimum over (sort values, whole row) instead of a ranking window: every task reduces its
-    own rows first, so a key that holds a third of the table sends one row per task.
+    Spark keeps only the first row per key inside every task before it shuffles (the group limit
+    of a ``row_number() = 1`` filter), so a key that holds a third of the table sends one row
+    per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    smallest = F.min(F.struct(*sort_terms(order), F.struct(*rest).alias("row")))
-    return df.groupBy(*keys).agg(smallest.alias("first")).select(*keys, "first.row.*")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+
+
+def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
+    """The first row of every key; columns outside the order settle ties."""
+    named = [c for c, _ in order]
+    first = [F.asc_nulls_last(c) if nulls == "last" else F.asc_nulls_first(c) for c, nulls in order]
+    ties = [F.asc_nulls_first(c) for c in df.columns if c not in keys and c not in named]
+    return _top_row(df, keys, [*first, *ties])
 
 
 def pick_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of every key by descending order columns, built like :func:`pick_first`."""
-    rest = [c for c in df.columns if c not in keys]
-    largest = F.max(F.struct(*order, F.struct(*rest).alias("row")))
-    return df.groupBy(*keys).agg(largest.alias("last")).select(*keys, "last.row.*")
+    """The last row of every key; columns outside the order settle ties."""
+    ties = [c for c in df.columns if c not in keys and c not in order]
+    return _top_row(df, keys, [F.desc_nulls_last(c) for c in [*order, *ties]])
 
 
 def duplicate_classes(
-    df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]], hash_column: str = "row_hash"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[tuple[str, str]],
+    hash_column: str = "row_hash",
+    hash_has_order: bool = True,
 ) -> DataFrame:
     """Keys that occur more than once: rows, exact copies (A) and conflicting rows (B).
 
     Copies of the first row's content are class A, everything else is class B; rows with a NULL
-    key part match nothing and are all class B. Two aggregations, each reduced inside its tasks
-    first, over key, hash and sort columns only.
+    key part match nothing and are all class B. Key, hash and sort columns are counted first,
+    then reduced per key; both steps reduce inside their tasks before they shuffle.
+    ``hash_has_order`` says that equal hashes imply equal sort columns.
     """
-    by_content = df.groupBy(*keys, hash_column).agg(
-        F.min(F.struct(*sort_terms(order))).alias("place"), F.count("*").alias("copies")
-    )
+    placed = [c for c, _ in order if c not in keys]
+    by_content = df.groupBy(*keys, hash_column, *placed).agg(F.count("*").alias("copies"))
+    place = F.struct(*sort_terms(order))
+    if not hash_has_order:
+        by_content = by_content.groupBy(*keys, hash_column).agg(
+            F.min(place).alias("place"), F.sum("copies").alias("copies")
+        )
+        place = F.col("place")
     by_key = by_content.groupBy(*keys).agg(
         F.sum("copies").alias("row_count"),
-        F.min(F.struct("place", hash_column, "copies")).alias("first"),
+        F.min(F.struct(place.alias("place"), F.col(hash_column), F.col("copies"))).alias("first"),
     )
     key_known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     type_a = F.when(key_known, F.col("first.copies") - 1).otherwise(F.lit(0))

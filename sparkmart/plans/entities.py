@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import text
 from sparkmart.operators.quality import (
-    digits_only, hex_id, not_empty, not_null, one_of, out_of_range, parses, state_code, zip_code,
+    digits_only, hex_id, is_digits, is_filled, is_hex_id, is_present, is_state_code, is_zip_code, not_empty,
+    not_null, one_of, out_of_range, parses, state_code, zip_code,
 )
 from sparkmart.plans import spec as s
 from sparkmart.plans.lookups import ORDER_STATUSES, PAYMENT_TYPES
@@ -43,6 +44,8 @@ CUSTOMERS = s.EntitySpec(
     ),
     order=(("customer_unique_id", FIRST), ("customer_zip_code_prefix", FIRST)),
     rules=_customers_rules,
+    admits=lambda: [is_hex_id("customer_id"), is_hex_id("customer_unique_id"), is_zip_code("customer_zip_code_prefix"),
+                    is_filled("customer_city"), is_state_code("customer_state")],
 )
 
 
@@ -87,6 +90,8 @@ ORDERS = s.EntitySpec(
     ),
     order=(("order_purchase_timestamp", LAST), ("customer_id", FIRST)),
     rules=_orders_rules,
+    admits=lambda: [is_hex_id("order_id"), is_hex_id("customer_id"), is_filled("order_status"),
+                    is_present("order_purchase_timestamp"), is_present("order_estimated_delivery_date")],
 )
 
 
@@ -124,6 +129,8 @@ ORDER_ITEMS = s.EntitySpec(
     ),
     order=(("product_id", FIRST), ("seller_id", FIRST)),
     rules=_order_items_rules,
+    admits=lambda: [is_hex_id("order_id"), is_digits("order_item_id"), is_hex_id("product_id"), is_hex_id("seller_id"),
+                    is_present("shipping_limit_date"), is_present("price"), is_present("freight_value")],
 )
 
 
@@ -156,6 +163,8 @@ ORDER_PAYMENTS = s.EntitySpec(
     hashed=("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
     order=(("payment_type", FIRST),),
     rules=_order_payments_rules,
+    admits=lambda: [is_hex_id("order_id"), is_present("payment_sequential"), is_filled("payment_type"),
+                    is_present("payment_installments"), is_present("payment_value")],
 )
 
 
@@ -194,6 +203,8 @@ ORDER_REVIEWS = s.EntitySpec(
     ),
     order=(("review_creation_date", LAST), ("review_answer_timestamp", LAST), ("order_id", FIRST)),
     rules=_order_reviews_rules,
+    admits=lambda: [is_hex_id("review_id"), is_hex_id("order_id"), is_present("review_score"),
+                    is_present("review_creation_date"), is_present("review_answer_timestamp")],
 )
 
 
@@ -232,6 +243,7 @@ PRODUCTS = s.EntitySpec(
     ),
     order=(("product_category_name", FIRST),),
     rules=_products_rules,
+    admits=lambda: [is_hex_id("product_id")],
 )
 
 
@@ -260,6 +272,8 @@ SELLERS = s.EntitySpec(
     hashed=("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
     order=(("seller_zip_code_prefix", FIRST), ("seller_city", FIRST)),
     rules=_sellers_rules,
+    admits=lambda: [is_hex_id("seller_id"), is_zip_code("seller_zip_code_prefix"), is_filled("seller_city"),
+                    is_state_code("seller_state")],
 )
 
 
@@ -298,6 +312,9 @@ def geolocation(strict_order: bool = False) -> s.EntitySpec:
         ),
         order=(("geolocation_lat", nulls), ("geolocation_lng", nulls), ("geolocation_city", FIRST)),
         rules=_geolocation_rules,
+        admits=lambda: [is_zip_code("geolocation_zip_code_prefix"), is_present("geolocation_lat"),
+                        is_present("geolocation_lng"), is_filled("geolocation_city"),
+                        is_state_code("geolocation_state")],
         surplus_issue="Duplicate zip_code_prefix: kept smallest (lat, lng) occurrence",
     )
 
@@ -319,6 +336,7 @@ TRANSLATION = s.EntitySpec(
     hashed=("product_category_name", "product_category_name_english"),
     order=(("product_category_name_english", FIRST),),
     rules=_translation_rules,
+    admits=lambda: [is_filled("product_category_name"), is_filled("product_category_name_english")],
 )
 
 ENTITIES = {

@@ -181,9 +181,11 @@ def top_values(grouped: DataFrame, label: str, value: str, k: int = 5) -> DataFr
     return grouped.orderBy(F.desc(value), F.asc(label)).limit(k)
 
 
-def axis_max(grouped: DataFrame, value: str, name: str, headroom: float = 1.15) -> DataFrame:
-    """Largest group value with headroom, for a chart axis."""
-    return grouped.agg((F.max(F.col(value).cast("double")) * headroom).alias(name))
+def axis_maxima(grouped: DataFrame, axes: Mapping[str, str], headroom: float = 1.15) -> DataFrame:
+    """Largest group value with headroom, one row per axis; ``axes`` maps measure to axis name."""
+    tops = grouped.agg(*[(F.max(F.col(m).cast("double")) * headroom).alias(m) for m in axes])
+    lines = [F.struct(F.lit(axis).alias("axis"), F.col(m).alias("axis_max")) for m, axis in axes.items()]
+    return tops.select(F.inline(F.array(*lines)))
 
 
 def in_window(fact: DataFrame, dim_date: DataFrame, first: int = 201701, last: int = 201808) -> DataFrame:

@@ -78,6 +78,7 @@ class EntitySpec:
     hashed: Sequence[str]
     order: Sequence[tuple[str, str]]
     rules: Callable[[], Sequence[Rule]]
+    admits: Callable[[], Sequence[Column]]
     quoted_source: bool = False
     surplus_issue: str | None = None
     hash_charset: str | None = None
@@ -118,16 +119,19 @@ def issues(clean: DataFrame, spec: EntitySpec) -> DataFrame:
     found = quality.run_rules(clean, spec.rules())
     if spec.surplus_issue:
         return found.unionByName(quality.surplus_rows(clean, spec.keys, spec.key_label, spec.surplus_issue))
-    classes = quality.duplicate_classes(clean, spec.keys, spec.order)
+    hash_has_order = all(c in spec.hashed for c, _ in spec.order)
+    classes = quality.duplicate_classes(clean, spec.keys, spec.order, hash_has_order=hash_has_order)
     return found.unionByName(quality.duplicate_issues(classes, spec.key_label, spec.key_subject))
 
 
 def admit(clean: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The first row of every key, if it passes every rejecting rule.
+    """The first row of every key, if it passes the admission tests.
 
-    Rule terms on the key alone move below the aggregation, so bad keys are not shuffled.
+    Tests on the key alone move below the ranking, so bad keys are not shuffled.
     """
-    first = quality.pick_first(clean, spec.keys, spec.order).where(quality.admitted(spec.rules()))
+    first = quality.pick_first(clean, spec.keys, spec.order)
+    for test in spec.admits():
+        first = first.where(test)
     stored = [(f.store(F.col(f.name)) if f.store else F.col(f.name)).alias(f.name) for f in spec.fields]
     return first.select(*stored, "row_hash")
 

@@ -1,0 +1,15 @@
+"""Scans of given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when its files yield fewer tasks than that.
+
+    A file with a single row group is read by one task whatever its size; the work that follows
+    should not be. A table with enough splits, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

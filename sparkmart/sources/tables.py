@@ -39,17 +39,20 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None
     return spark.read.parquet(version_path(root, table, version)).drop("_action") if version else None
 
 
+def staging_folder(spark: SparkSession, fallback: str) -> str:
+    """The shared folder the cluster names for intermediate tables; the fallback where it names none."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or fallback).rstrip("/")
+
+
 @contextlib.contextmanager
 def materialised(df: DataFrame, fallback: str) -> Iterator[DataFrame]:
     """Write a frame once and read it several times.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; ``fallback`` is used only
-    where that is unset. A written table survives lost executors and is read column by column.
+    A written table survives lost executors and is read column by column.
     The copy is removed afterwards.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    path = f"{folder}/sparkmart-{uuid.uuid4().hex}"
+    path = f"{staging_folder(spark, fallback)}/sparkmart-{uuid.uuid4().hex}"
     df.write.parquet(path)
     try:
         yield spark.read.parquet(path)
