@@ -13,6 +13,7 @@ from gallery.standins import RAW
 from sparkmart.functions import hashing, text
 from sparkmart.operators import merge, quality
 from sparkmart.plans import entities, mart, spec
+from sparkmart.sources.scan import spread
 
 FIRST_LOAD, SECOND_LOAD, THIRD_LOAD = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
 
@@ -23,7 +24,7 @@ SELECT doc_id, sha256({norm('text')}) AS normalised_hash, length({norm('text')})
 def normalised_documents(t: Tables):
     """The text normaliser and the quote stripper over whole documents."""
     upper = text.normalise_text(F.col("text"))
-    return t.table("documents").select(
+    return spread(t.table("documents")).select(
         "doc_id", F.sha2(upper, 256).alias("normalised_hash"), F.length(upper).alias("normalised_length"),
         F.length(text.strip_quotes(F.col("text"))).alias("stripped_length"),
     )

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 ACCENTED = "ÁÂÃÀÉÊÍÓÔÕÚÇÄËÜ"
 PLAIN = "AAAAEEIOOOUCAEU"
 
-# Java upper-cases the sharp s to two letters; the normaliser must keep it as it is,
-# so it travels through upper() as a private-use character.
+# Java upper-cases the sharp s to two letters; the normaliser keeps it as it is, so in the
+# texts that have one it travels through upper() as a private-use character.
 _SHARP_S = "ß"
 _PLACEHOLDER = "\ue000"
 
@@ -25,8 +25,9 @@ def strip_quotes(c: Column) -> Column:
 
 def normalise_text(c: Column) -> Column:
     """Trimmed, upper-cased text without accents; NULL stays NULL."""
-    raised = F.upper(F.translate(F.trim(c), _SHARP_S, _PLACEHOLDER))
-    return F.translate(raised, ACCENTED + _PLACEHOLDER, PLAIN + _SHARP_S)
+    text = F.trim(c)
+    kept = F.translate(F.upper(F.translate(text, _SHARP_S, _PLACEHOLDER)), ACCENTED + _PLACEHOLDER, PLAIN + _SHARP_S)
+    return F.when(text.contains(_SHARP_S), kept).otherwise(F.translate(F.upper(text), ACCENTED, PLAIN))
 
 
 def is_blank(c: Column) -> Column:
