@@ -42,7 +42,7 @@ def example(covers: str, sql: str | None = None, name: str | None = None):
     return register
 
 
-_PUBLISHED: set[str] = set()
+_WRITTEN: set[str] = set()
 
 
 @functools.cache
@@ -88,16 +88,21 @@ class Tables:
         source = hashlib.md5(self.folder.encode()).hexdigest()[:8]
         return f"{staging_folder(self.spark, scratch())}/sparkmart-{context}-{source}/{name}"
 
+    def once(self, name: str, write: Callable[[str], None]) -> str:
+        """Let ``write`` fill a folder the first time it is asked for; returns the folder."""
+        path = self.place(name)
+        if path not in _WRITTEN:
+            write(path)
+            _WRITTEN.add(path)
+        return path
+
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table as the warehouse publishes it: written once per session, then read.
 
         Profiles and loads read raw tables, facts read cleansed tables and reports read facts, so
         nothing is derived again for every query. A written table also survives lost executors.
         """
-        path = self.place(name)
-        if path not in _PUBLISHED:
-            build().write.mode("overwrite").parquet(path)
-            _PUBLISHED.add(path)
+        path = self.once(f"table_{name}", lambda folder: build().write.mode("overwrite").parquet(folder))
         return self.spark.read.parquet(path)
 
     def published_entity(self, entity: str) -> DataFrame:

@@ -140,9 +140,8 @@ def schema_changes(t: Tables):
 
 
 def _files(t: Tables, name: str, rows: DataFrame, **options: object) -> str:
-    path = t.place(f"files_{name}")
-    rows.write.mode("overwrite").options(header=True, **options).csv(path)
-    return path
+    return t.once(
+        f"files_{name}", lambda path: rows.write.mode("overwrite").options(header=True, **options).csv(path))
 
 
 @example("S-01", with_ctes("""
@@ -202,12 +201,14 @@ def read_quoted_splits(t: Tables):
 @example("S-04, S-07, S-08, W-03", with_ctes("SELECT order_status, count(*) AS cnt FROM raw_orders GROUP BY 1"))
 def latest_raw_batch(t: Tables):
     """Two batches appended; the profile reads only the newest."""
-    path = t.place("raw_orders")
     orders = t.raw("orders")
-    for number, batch in enumerate(("first", "second")):
-        stamped = raw.stamp_batch(orders, batch, "orders.csv").withColumn(
-            "load_ts", F.timestamp_seconds(F.lit(1_700_000_000 + number)))
-        mode = "append" if number else "overwrite"
-        stamped.write.mode(mode).partitionBy("batch_id").parquet(path)
-    newest = raw.latest_batch(t.spark.read.parquet(path))
+
+    def append_both(path: str) -> None:
+        for number, batch in enumerate(("first", "second")):
+            stamped = raw.stamp_batch(orders, batch, "orders.csv").withColumn(
+                "load_ts", F.timestamp_seconds(F.lit(1_700_000_000 + number)))
+            mode = "append" if number else "overwrite"
+            stamped.write.mode(mode).partitionBy("batch_id").parquet(path)
+
+    newest = raw.latest_batch(t.spark.read.parquet(t.once("batches_orders", append_both)))
     return newest.groupBy("order_status").agg(F.count("*").alias("cnt"))
