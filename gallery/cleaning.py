@@ -81,7 +81,7 @@ _LINE_HASH = "sha256(concat(l_orderkey, '|', l_linenumber, '|', l_partkey, '|',
 
 
 def _lines(t: Tables) -> DataFrame:
-    lines = t.table("lineitem").select(*_LINE_KEYS, "l_partkey", "l_suppkey")
+    lines = spread(t.table("lineitem").select(*_LINE_KEYS, "l_partkey", "l_suppkey"))
     return lines.withColumn("row_hash", hashing.row_hash([F.col(c) for c in lines.columns]))
 
 

@@ -195,9 +195,12 @@ FROM k1 FULL JOIN d2 ON d2.part_id = k1.part_id LEFT JOIN k2 ON k2.part_id = d2.
 UNION ALL SELECT -1, 'UNKNOWN', 'UNKNOWN', false, 'NOOP'""")
 def dimension_reload(t: Tables):
     """A type 1 dimension after two loads: stable surrogates, new ones numbered on, the unknown member safe."""
-    empty = _PART_DIM.empty(t.spark, NOW)
-    first = merge.merge_dimension(empty, _parts(t, 1), "part_id", "part_key", F.lit(NOW)).drop("_action")
-    seeded = _PART_DIM.with_unknown(first, NOW)
+
+    def first_load() -> DataFrame:
+        empty = _PART_DIM.empty(t.spark, NOW)
+        return merge.merge_dimension(empty, _parts(t, 1), "part_id", "part_key", F.lit(NOW)).drop("_action")
+
+    seeded = _PART_DIM.with_unknown(t.published("dim_part", first_load), NOW)
     second = merge.merge_dimension(seeded, _parts(t, 2), "part_id", "part_key", F.lit(LATER))
     return second.select("part_key", "part_id", "p_type", "is_deleted", F.col("_action").alias("action"))
 

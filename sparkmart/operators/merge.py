@@ -17,6 +17,7 @@ def merge_upsert(
     keys: Sequence[str],
     now: Column,
     protect: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The table after a load, with ``_action`` per row.
 
@@ -24,7 +25,8 @@ def merge_upsert(
     same plus ``is_deleted``, ``updated_at`` and, if kept, ``deleted_at``. New keys are inserted; a
     changed hash or a deleted row that came back is updated and live again; a live row missing
     from the source is soft deleted unless ``protect`` (an expression over target columns)
-    holds. One full outer join on the key.
+    holds. ``keep`` names columns that are set on insert and never change. One full outer join
+    on the key.
     """
     content = [c for c in source.columns if c not in keys]
     state = [c for c in target.columns if c not in keys]
@@ -56,6 +58,8 @@ def merge_upsert(
             value = F.when(gone, now).when(~fresh, before)
         elif column == "updated_at":
             value = F.when(fresh | gone, now).otherwise(before)
+        elif column in keep:
+            value = F.coalesce(before, F.col(f"s.{column}"))
         elif column in content:
             value = F.when(fresh, F.col(f"s.{column}")).otherwise(before)
         else:
@@ -107,11 +111,9 @@ def merge_dimension(
     newest = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top"))
     start = F.greatest(newest.scalar(), F.lit(0))
     new_members = source.select(natural_key).join(target.select(natural_key), natural_key, "left_anti")
-    numbered = assign_keys(new_members, natural_key, start, "_assigned")
-    merged = merge_upsert(target, source, [natural_key], now, protect=F.col(surrogate) == -1)
-    key = F.coalesce(F.col(surrogate), F.col("_assigned")).alias(surrogate)
-    columns = [key if c == surrogate else F.col(c) for c in merged.columns]
-    return merged.join(numbered, natural_key, "left").select(*columns)
+    numbered = assign_keys(new_members, natural_key, start, surrogate)
+    keyed = source.join(numbered, natural_key, "left")
+    return merge_upsert(target, keyed, [natural_key], now, protect=F.col(surrogate) == -1, keep=[surrogate])
 
 
 def insert_missing(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,11 +38,12 @@ def salted_join(
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(on)
     spread_salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    split = key.isNull()
-    copies: Column = F.array(F.lit(0))
     if hot:
-        split = split | key.isin(list(hot))
-        copies = F.when(key.isin(list(hot)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(copies)
+        heavy = key.isin(list(hot))
+        copies = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        split, right_salt = key.isNull() | heavy, F.explode(copies)
+    else:
+        split, right_salt = key.isNull(), F.lit(0)
     salted_left = left.withColumn("_salt", F.when(split, spread_salt).otherwise(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(copies))
+    salted_right = right.withColumn("_salt", right_salt)
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
