@@ -57,7 +57,7 @@ def _register_entities() -> None:
         shown = ", ".join(
             f"cast({c} AS string) AS {c}" if _is_typed(c) else c for c in columns
         )
-        example("D-04, D-05, D-06, W-01, W-02, J-09", with_ctes(f"SELECT {shown}, row_hash FROM live_{name}"),
+        example("D-04, D-05, D-06, F-08, F-09, W-01, W-02, J-09", with_ctes(f"SELECT {shown}, row_hash FROM live_{name}"),
                 f"cleansed_{name}")(lambda t, n=name: _shown(t.cleansed(n)))
 
 

@@ -36,6 +36,18 @@ def row_counts(t: Tables):
     return result
 
 
+@example("E-01, O-03", _union([f"SELECT '{e}' AS entity, least(count(*), 10) AS shown FROM raw_{e}" for e in RAW]))
+def preview_rows(t: Tables):
+    """How many rows the preview of each raw entity shows; which ones is not determined."""
+    frames = [
+        profile.preview(t.raw(e)).agg(F.count("*").alias("shown")).select(F.lit(e).alias("entity"), "shown") for e in RAW
+    ]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
 def _register_columns() -> None:
     plain = "min(length(rtrim({c}))) AS min_length, max(length(rtrim({c}))) AS max_length"
     bare = "length(trim(replace({c}, '\"', '')))"

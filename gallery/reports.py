@@ -301,7 +301,7 @@ def formatted_measures(t: Tables):
     return kpi.formatted_measures(measures.measure(fact, _HEADLINES, ["year_month_key"]))
 
 
-@example("F-21, F-22, F-23, F-31, P-10, X-04", """
+@example("F-21, F-22, F-31, P-10", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        date_diff('day', o_orderdate + INTERVAL 659 MINUTE, l_shipdate + INTERVAL 661 MINUTE) AS days,
        date_diff('hour', o_orderdate + INTERVAL 659 MINUTE, l_shipdate + INTERVAL 661 MINUTE) AS hours,

@@ -198,7 +198,7 @@ def read_quoted_splits(t: Tables):
     return _hashed(delimited.read_quoted_split(t.spark, _notes(t, "notes_split"), _NOTES))
 
 
-@example("S-04, S-07, S-08, W-03", with_ctes("SELECT order_status, count(*) AS cnt FROM raw_orders GROUP BY 1"))
+@example("S-04, S-07, S-08, F-30", with_ctes("SELECT order_status, count(*) AS cnt FROM raw_orders GROUP BY 1"))
 def latest_raw_batch(t: Tables):
     """Two batches appended; the profile reads only the newest."""
     orders = t.raw("orders")

@@ -143,9 +143,10 @@ class Warehouse:
             now = ledger.utc_now()
             target = self.mart(dim.name)
             target = dim.empty(self.spark, now) if target is None else dim.with_unknown(target, now)
-            return self._publish(
-                merge.merge_dimension(target, source, dim.natural, dim.surrogate, F.lit(now)), f"mart/{dim.name}"
-            )
+            # the source is read to find new members and again to merge
+            with tables.materialised(source, f"{self.root}/_staging") as members:
+                merged = merge.merge_dimension(target, members, dim.natural, dim.surrogate, F.lit(now))
+                return self._publish(merged, f"mart/{dim.name}")
 
         return self._run("MART", dim.name, job, work)
 

@@ -35,12 +35,19 @@ def flatten_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def read_quoted(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
+def read_quoted(spark: SparkSession, path: str, spec: EntitySpec, whole_limit: int = 256 << 20) -> DataFrame:
     """Comma-separated records whose quoted fields may hold commas, pipes and line breaks.
 
-    Each file is read by one task, which suits many files of moderate size; see
-    :func:`read_quoted_split` for single files too large for that.
+    Files up to ``whole_limit`` bytes are read by one task each; if there is a larger one, all
+    are read in splits, so no task has to go through a huge file alone.
     """
+    listing = spark.read.format("binaryFile").load(path)
+    largest = listing.agg(F.max("length").alias("bytes")).first()["bytes"] or 0
+    return (read_quoted_split if largest > whole_limit else read_quoted_whole)(spark, path, spec)
+
+
+def read_quoted_whole(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
+    """Quoted files, each read from end to end by one task."""
     rows = (
         spark.read.schema(text_schema(spec.columns))
         .option("header", True)
@@ -54,7 +61,7 @@ def read_quoted(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
 
 
 def read_quoted_split(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    """:func:`read_quoted` for files of any size, cut into splits like plain text.
+    """Quoted files of any size, cut into splits like plain text.
 
     A line break ends a record only when the quotes up to it pair off. Quotes are counted per
     line, summed inside each split, and carried from split to split through one small row per

@@ -40,9 +40,21 @@ def write_notes(path, count, seed=7):
 
 
 def test_quoted_fields_are_flattened(spark, tmp_path, rows):
-    want = write_notes(tmp_path / "notes.csv", 200)
-    got = rows(delimited.read_quoted(spark, str(tmp_path / "notes.csv"), NOTES))
-    assert got == sorted(want, key=repr)
+    want = sorted(write_notes(tmp_path / "notes.csv", 200), key=repr)
+    path = str(tmp_path / "notes.csv")
+    assert rows(delimited.read_quoted(spark, path, NOTES)) == want
+    assert rows(delimited.read_quoted(spark, path, NOTES, whole_limit=100)) == want
+
+
+def test_large_quoted_files_are_split(spark, tmp_path):
+    write_notes(tmp_path / "notes.csv", 50)
+    path = str(tmp_path / "notes.csv")
+
+    def plan(limit):
+        frame = delimited.read_quoted(spark, path, NOTES, limit)
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    assert "Scan csv" in plan(1 << 20) and "Scan text" in plan(100)
 
 
 @pytest.mark.parametrize("split", ["64", "500", "100000"])
