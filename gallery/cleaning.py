@@ -99,19 +99,22 @@ def line_duplicates(t: Tables):
     return quality.duplicate_classes(_lines(t), _LINE_KEYS, order)
 
 
-_TWIN = "EXISTS (SELECT 1 FROM twice f WHERE f.rn = 1 AND f.order_id = t.order_id AND f.row_hash = t.row_hash)"
+_PLACED = (
+    "SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS LAST, "
+    "customer_id NULLS FIRST, row_hash) AS rn FROM"
+)
+_TWIN = (
+    f"EXISTS (SELECT 1 FROM ({_PLACED} clean_orders) f WHERE f.rn = 1 AND f.order_id = t.order_id "
+    "AND f.row_hash = t.row_hash)"
+)
 
 
 @example("D-02, D-03", with_ctes(f"""
 SELECT 'order_id' AS column_name, 'Duplicate order_id: ' || ending AS issue, count(*) AS affected_row_count FROM (
     SELECT CASE WHEN {_TWIN} THEN 'identical content, deduplicated silently'
                 ELSE 'conflicting content — investigate before reload' END AS ending
-    FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS LAST,
-                                       customer_id NULLS FIRST, row_hash) AS rn
-          FROM (SELECT * FROM clean_orders UNION ALL SELECT * FROM clean_orders)) AS t WHERE rn > 1)
-GROUP BY ALL""".replace("FROM twice f", """FROM (
-        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS LAST,
-                                     customer_id NULLS FIRST, row_hash) AS rn FROM clean_orders) f""")))
+    FROM ({_PLACED} (SELECT * FROM clean_orders UNION ALL SELECT * FROM clean_orders)) AS t WHERE rn > 1)
+GROUP BY ALL"""))
 def reload_duplicates(t: Tables):
     """The whole batch delivered twice: exact copies everywhere, conflicts only under bad keys."""
     clean = t.clean("orders")
