@@ -169,32 +169,37 @@ class Warehouse:
         self, job: str | None = None, start: dt.date = dt.date(2016, 1, 1), end: dt.date = dt.date(2018, 12, 31)
     ) -> None:
         """All dimensions, then both facts as full reloads."""
-        table = self.cleansed
-        geo = table("geolocation")
+        loaded = {name: self.cleansed(name) for name in entities.ENTITIES}
+        missing = [name for name, frame in loaded.items() if frame is None]
+        if missing:
+            raise NoSourceBatch(f"not loaded yet: {', '.join(missing)}")
+        geo, orders, items = loaded["geolocation"], loaded["orders"], loaded["order_items"]
+        payments = loaded["order_payments"]
+
         self._load_missing("dim_date", mart.date_dim(self.spark, start, end), "date_key", job)
         self._load_missing("dim_order_status", order_status_dim(self.spark), "order_status_key", job)
         self._load_missing("dim_payment_type", payment_type_dim(self.spark), "payment_type_key", job)
 
         def hot(name: str, column: str) -> list:
-            return hot_values(table(name), [column])[column]
+            return hot_values(loaded[name], [column])[column]
 
         self.load_dimension(mart.DIM_CUSTOMER, mart.customer_source(
-            table("customers"), geo, hot("customers", "customer_zip_code_prefix")), job)
+            loaded["customers"], geo, hot("customers", "customer_zip_code_prefix")), job)
         self.load_dimension(mart.DIM_SELLER, mart.seller_source(
-            table("sellers"), geo, hot("sellers", "seller_zip_code_prefix")), job)
+            loaded["sellers"], geo, hot("sellers", "seller_zip_code_prefix")), job)
         self.load_dimension(mart.DIM_PRODUCT, mart.product_source(
-            table("products"), table("product_category_name_translation"),
+            loaded["products"], loaded["product_category_name_translation"],
             hot("products", "product_category_name")), job)
 
-        orders, items, payments = table("orders"), table("order_items"), table("order_payments")
+        dates, customers = self.mart("dim_date"), self.mart("dim_customer")
         buyers = hot_values(orders, ["customer_id"])
         heavy = {**buyers, **hot_values(items, ["order_id", "seller_id", "product_id"])}
         self._load_whole("fact_sales", lambda: mart.fact_sales(
-            items, orders, table("order_reviews"), self.mart("dim_date"), self.mart("dim_customer"),
-            self.mart("dim_seller"), self.mart("dim_product"), self.mart("dim_order_status"), heavy,
+            items, orders, loaded["order_reviews"], dates, customers, self.mart("dim_seller"),
+            self.mart("dim_product"), self.mart("dim_order_status"), heavy,
         ).withColumn("mart_load_ts", F.current_timestamp()), job)
         self._load_whole("fact_payments", lambda: mart.fact_payments(
-            payments, orders, self.mart("dim_date"), self.mart("dim_customer"), self.mart("dim_payment_type"),
+            payments, orders, dates, customers, self.mart("dim_payment_type"),
             {**buyers, **hot_values(payments, ["order_id"])},
         ).withColumn("mart_load_ts", F.current_timestamp()), job)
 
