@@ -56,7 +56,7 @@ def job_rollup(t: Tables):
 SELECT pipeline, status AS last_run_status, batch_id AS last_batch_id FROM (
     SELECT *, row_number() OVER (PARTITION BY pipeline ORDER BY load_us DESC, status DESC, event_id DESC) AS place
     FROM ({_LOADS_SQL})) WHERE place = 1""")
-def pipeline_status(t: Tables):
+def newest_load_states(t: Tables):
     """Last state of every pipeline."""
     return ledger.pipeline_status(_loads(t)).select("pipeline", "last_run_status", "last_batch_id")
 
