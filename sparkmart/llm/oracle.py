@@ -45,3 +45,37 @@ SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS wo
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND lost * 100 <= coalesce(word_chars, 0) * 50 AS kept
 FROM counted
 """
+
+DECONTAMINATION = r"""
+WITH low AS (
+  SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS body FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+split AS (
+  SELECT side, id, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM low),
+sized AS (SELECT side, id, words, len(words) AS n FROM split),
+placed AS (SELECT side, id, n, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM sized),
+ahead AS (
+  SELECT side, id, n, p, list(word) OVER (PARTITION BY side, id ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS next
+  FROM placed),
+windows AS (
+  SELECT DISTINCT id AS item_id, least(n, 10) AS k, array_to_string(next[1:least(n, 10)], ' ') AS gram
+  FROM ahead WHERE side = 'b' AND len(next) >= least(n, 10)),
+sizes AS (SELECT DISTINCT k FROM windows),
+grams AS (
+  SELECT a.id AS doc_id, a.p, s.k, array_to_string(next[1:s.k], ' ') AS gram
+  FROM ahead a JOIN sizes s ON len(a.next) >= s.k WHERE a.side = 'd'),
+hits AS (SELECT g.doc_id, g.p, g.k, w.item_id FROM grams g JOIN windows w ON w.k = g.k AND w.gram = g.gram),
+reach AS (SELECT doc_id, p, max(k) AS k FROM hits GROUP BY doc_id, p),
+covered AS (
+  SELECT doc_id, sum(greatest(0, p + k - greatest(p, coalesce(until, 0)))) AS n
+  FROM (SELECT doc_id, p, k, max(p + k) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until
+        FROM reach)
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT s.id AS doc_id, s.n::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM sized s LEFT JOIN covered c ON c.doc_id = s.id LEFT JOIN items i ON i.doc_id = s.id WHERE s.side = 'd'
+"""

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkmart.llm import oracle
+from sparkmart.llm.decontaminate import decontaminate
 from sparkmart.llm.quality_rules import quality_rules
+from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,8 +27,22 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups(table(spark, folder, "documents"))
+
+
 @_query(oracle.QUALITY_RULES)
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules(table(spark, folder, "documents"))
     counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", "n_words", *counts, "base_failed", "kept")
+
+
+@_query(oracle.DECONTAMINATION)
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    judged = decontaminate(docs, benchmark, clean=False, keep=["doc_id"])
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    n_items = F.size("items").cast("long").alias("n_items")
+    return judged.select("doc_id", "n_words", "n_hit", n_items, digest, (F.col("n_hit") > 0).alias("contaminated"))
