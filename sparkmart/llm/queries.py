@@ -11,7 +11,7 @@ from sparkmart.llm import oracle
 from sparkmart.llm.decontaminate import decontaminate
 from sparkmart.llm.quality_rules import quality_rules
 from sparkmart.llm.simhash import simhash_groups
-from sparkmart.llm.store import table
+from sparkmart.llm.store import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,11 @@ ORACLES: dict[str, str] = {}
 
 def _query(sql: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn
