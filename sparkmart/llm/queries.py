@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import oracle
 from sparkmart.llm.decontaminate import decontaminate
+from sparkmart.llm.packing import pack_documents
 from sparkmart.llm.quality_rules import quality_rules
+from sparkmart.llm.secrets import labelled, scan_secrets, train
 from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import ship, table
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where the vocabulary file lies; it comes with an installed package on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,6 +40,19 @@ def _query(sql: str | None = None):
     return register
 
 
+@_query()
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scanned = scan_secrets(docs, train(labelled(docs)), redact=None, keep=["doc_id"])
+    digest = F.sha2(F.array_join("base", ","), 256).alias("base_sha256")
+    return scanned.select("doc_id", "n_assign", "n_access", "n_hex", digest, F.array_join("spans", ",").alias("spans"))
+
+
+@_query()
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), vocabulary(), with_ids=False)
+
+
 @_query()
 def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
