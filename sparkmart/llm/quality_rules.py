@@ -4,8 +4,8 @@ Native expressions only. Everything is computed within a document's row, so noth
 of copies can be hot.
 
 A NULL or empty text has no words and no lines, is rejected by the base rule, and its clean text is empty. Repeated rows are
-judged one by one. An empty table gives an empty table. Only the id and text columns are read; the operator's own columns are
-added under the names it lists, replacing columns of these names.
+judged one by one. An empty table gives an empty table. Only the text is read; other columns are carried along, but those named
+like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -96,21 +96,26 @@ def line_fails(line: Column) -> Column:
     return marks | F.when(F.length(line) <= SHORT_LINE, _has_phrase(line)).otherwise(F.lit(False))
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_failed_lines", "lost_chars")
+
+
 def quality_rules(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30, max_lost_pct: int = 50
+    docs: DataFrame, text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30, max_lost_pct: int = 50, keep: list[str] | None = None
 ) -> DataFrame:
-    """Per row: id, clean_text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_failed_lines,
-    lost_chars, base_failed, kept.
+    """The columns named in keep (all by default) of every row with clean_text, COUNTS, base_failed and kept.
 
     Words are runs of other characters than blank, tab and line ends. The base rule rejects texts of under min_words words and
     those in which over max_repeat_pct percent of the words lie in repeated 8-word windows. Then lines are judged; a document
     that loses over max_lost_pct percent of its word characters with its failed lines is rejected too.
     """
+    names = ("clean_text", *COUNTS, "base_failed", "kept")
+    carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    row = F.struct(*[F.col(c) for c in carried]).alias("_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split("_text", "\n")
     empty = F.array().cast("array<bigint>")
-    base = docs.select(F.col(id_col), text.alias("_text")).select(
-        id_col,
+    base = docs.select(row, text.alias("_text")).select(
+        "_row",
         "_text",
         words_of(F.col("_text")).alias("_words"),
         F.filter(lines, lambda x: F.btrim(x, F.lit(BLANK_CHARS)) != "").alias("_lines"),
@@ -118,7 +123,7 @@ def quality_rules(
     )
     n = F.size("_words")
     two = base.select(
-        id_col,
+        "_row",
         F.when(F.size("_failed") == 0, F.col("_text"))
         .otherwise(F.concat_ws("\n", F.filter(lines, lambda x: ~F.array_contains("_failed", x))))
         .alias("clean_text"),
@@ -143,7 +148,7 @@ def quality_rules(
         "n_failed_lines": F.col("_n_failed"),
         "lost_chars": F.col("_lost"),
     }
-    found = eight.select(id_col, "clean_text", *[c.cast("long").alias(k) for k, c in counts.items()])
+    found = eight.select("_row.*", "clean_text", *[c.cast("long").alias(k) for k, c in counts.items()])
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct)
     return found.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost_pct)

@@ -60,7 +60,7 @@ def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(oracle.QUALITY_RULES)
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality_rules(table(spark, folder, "documents"))
+    judged = quality_rules(table(spark, folder, "documents"), keep=["doc_id"])
     counts = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", "n_words", *counts, "base_failed", "kept")
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 from sparkmart.llm.quality_rules import quality_rules
 
-SCHEMA = "doc_id long, text string, _text string, kept string"
+SCHEMA = "doc_id long, text string, _text string, kept string, _row string"
 PROSE = "\n".join(f"Line {i} tells of harbour {i * 3} where boat {i * 7} waits for tide {i * 11} this evening." for i in range(6))
 
 
@@ -20,7 +20,7 @@ def _brute(text):
 
 
 def _run(spark, texts):
-    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in enumerate(texts)], SCHEMA)
     return {r.doc_id: r for r in quality_rules(df).collect()}
 
 
@@ -48,7 +48,7 @@ def test_line_rules_and_loss(spark):
 
 
 def test_null_empty_and_repeated_rows(spark):
-    df = spark.createDataFrame([(None, PROSE, "x", "y"), (1, PROSE, "x", "y"), (1, PROSE, "x", "y"), (2, None, None, None)], SCHEMA)
+    df = spark.createDataFrame([(None, PROSE, "x", "y", "z"), (1, PROSE, "x", "y", "z"), (1, PROSE, "x", "y", "z"), (2, None, None, None, None)], SCHEMA)
     rows = quality_rules(df).collect()
     assert len(rows) == 4 and sum(r.kept for r in rows) == 3
     assert [r.base_failed for r in rows if r.doc_id == 2] == [True]
