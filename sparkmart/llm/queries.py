@@ -14,6 +14,7 @@ from sparkmart.llm.quality_rules import quality_rules
 from sparkmart.llm.secrets import labelled, scan_secrets, train
 from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import ship, table
+from sparkmart.llm.token_machine import token_counts
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Where the vocabulary file lies; it comes with an installed package on every machine."""
@@ -53,6 +54,11 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary(), with_ids=False)
 
 
+@_query()
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), vocabulary())
+
+
 @_query()
 def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
