@@ -79,3 +79,22 @@ SELECT s.id AS doc_id, s.n::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit
   sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM sized s LEFT JOIN covered c ON c.doc_id = s.id LEFT JOIN items i ON i.doc_id = s.id WHERE s.side = 'd'
 """
+
+REPEATED_PASSAGES = r"""
+WITH parts AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM parts),
+ahead AS (
+  SELECT doc_id, p, word, string_agg(word, ' ') OVER w AS gram, count(*) OVER w AS n
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+counted AS (SELECT doc_id, p, word, n = 35 AND count(*) OVER (PARTITION BY n, gram) > 1 AS again FROM ahead),
+marked AS (
+  SELECT doc_id, p, word, max(CASE WHEN again THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted),
+kept AS (
+  SELECT doc_id, sum(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (WHERE gone = 0), '') AS rest
+  FROM marked GROUP BY doc_id)
+SELECT p.doc_id, len(p.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM parts p LEFT JOIN kept k ON k.doc_id = p.doc_id
+"""

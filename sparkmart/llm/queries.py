@@ -11,6 +11,7 @@ from sparkmart.llm import oracle
 from sparkmart.llm.decontaminate import decontaminate
 from sparkmart.llm.packing import pack_documents
 from sparkmart.llm.quality_rules import quality_rules
+from sparkmart.llm.repeats import repeated_passages
 from sparkmart.llm.secrets import labelled, scan_secrets, train
 from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import ship, table
@@ -54,6 +55,11 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary(), with_ids=False)
 
 
+@_query(oracle.REPEATED_PASSAGES)
+def op4_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents")).drop("removed")
+
+
 @_query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary())
