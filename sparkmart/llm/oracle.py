@@ -98,3 +98,58 @@ SELECT p.doc_id, len(p.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGI
   sha256(coalesce(k.rest, '')) AS kept_sha256
 FROM parts p LEFT JOIN kept k ON k.doc_id = p.doc_id
 """
+
+URL_FILTER = r"""
+WITH rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+cut AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut)
+SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, coalesce(r.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+QUALIFY row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) = 1
+"""
+
+QUOTATIONS = r"""
+WITH lines AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS body, string_split(coalesce(text, ''), chr(10)) AS parts FROM conversations),
+each AS (
+  SELECT conv_id, turn, unnest(parts) AS line, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM lines),
+level AS (
+  SELECT conv_id, turn, i, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)*)[ \t]?', 1), '[^>]', '', 'g')) AS level,
+    regexp_replace(line, '^((?:[ \t]*>)*)[ \t]?', '') AS body FROM each),
+deep AS (SELECT conv_id, turn, max(level) AS max_level FROM level GROUP BY conv_id, turn),
+kept AS (
+  SELECT l.conv_id, l.turn, l.i, l.level, l.body FROM (
+    SELECT *, lead(level, 1, 0) OVER (PARTITION BY conv_id, turn ORDER BY i) AS next FROM level) l JOIN deep d ON d.conv_id = l.conv_id AND d.turn = l.turn
+  WHERE NOT (d.max_level > 0 AND l.next > l.level AND regexp_matches(l.body, '^[ \t]*(?:On|Le|El|Am) .{1,200}(?:wrote|écrit|escribió|schrieb) ?:[ \t]*$'))),
+runs AS (
+  SELECT *, sum(step) OVER (PARTITION BY conv_id, turn ORDER BY i) AS run FROM (
+    SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY conv_id, turn ORDER BY i) THEN 0 ELSE 1 END AS step FROM kept)),
+evidence AS (
+  SELECT DISTINCT conv_id, turn, level, said FROM (
+    SELECT conv_id, turn, level, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) AS said FROM kept
+    UNION ALL
+    SELECT conv_id, turn, level, trim(regexp_replace(lower(string_agg(body, chr(10) ORDER BY i)), '[^\p{L}\p{N}]+', ' ', 'g'))
+    FROM runs GROUP BY conv_id, turn, run, level)
+  WHERE len(string_split(said, ' ')) >= 3),
+first AS (SELECT conv_id, said, min(turn) AS said_at FROM evidence WHERE level = 0 GROUP BY conv_id, said),
+votes AS (
+  SELECT e.conv_id, e.turn, e.level, f.said_at, count(*) AS votes
+  FROM evidence e JOIN first f ON f.conv_id = e.conv_id AND f.said = e.said WHERE e.level > 0 AND f.said_at < e.turn GROUP BY ALL),
+best AS (
+  SELECT conv_id, turn, arg_max(said_at, {'l': -level, 'v': votes, 's': said_at}) AS said_at, sum(votes) AS n_linked FROM votes GROUP BY conv_id, turn),
+quoted AS (SELECT conv_id, turn, count(*) AS n FROM evidence WHERE level > 0 GROUP BY conv_id, turn),
+own AS (SELECT conv_id, turn, coalesce(string_agg(body, chr(10) ORDER BY i), '') AS own_text FROM kept WHERE level = 0 GROUP BY conv_id, turn),
+place AS (
+  SELECT conv_id, turn, row_number() OVER w - 1 AS position, lag(turn) OVER w AS before
+  FROM (SELECT DISTINCT conv_id, turn FROM conversations) WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT l.conv_id, l.turn, l.role, p.position::BIGINT AS position, coalesce(b.said_at, p.before) AS reply_to,
+  CASE WHEN d.max_level = 0 THEN l.body ELSE regexp_replace(regexp_replace(coalesce(o.own_text, ''), '^\s+', ''), '\s+$', '') END AS clean_text,
+  d.max_level::BIGINT AS max_level, coalesce(q.n, 0)::BIGINT AS n_quoted, coalesce(b.n_linked, 0)::BIGINT AS n_linked
+FROM lines l JOIN place p ON p.conv_id = l.conv_id AND p.turn = l.turn JOIN deep d ON d.conv_id = l.conv_id AND d.turn = l.turn
+LEFT JOIN best b ON b.conv_id = l.conv_id AND b.turn = l.turn LEFT JOIN quoted q ON q.conv_id = l.conv_id AND q.turn = l.turn
+LEFT JOIN own o ON o.conv_id = l.conv_id AND o.turn = l.turn
+"""

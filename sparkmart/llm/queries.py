@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import oracle
 from sparkmart.llm.decontaminate import decontaminate
+from sparkmart.llm.licenses import scan_licenses
 from sparkmart.llm.packing import pack_documents
 from sparkmart.llm.quality_rules import quality_rules
+from sparkmart.llm.quotations import link_quotations
 from sparkmart.llm.repeats import repeated_passages
 from sparkmart.llm.secrets import labelled, scan_secrets, train
 from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import ship, table
 from sparkmart.llm.token_machine import token_counts
+from sparkmart.llm.url_filter import filter_urls
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Where the vocabulary file lies; it comes with an installed package on every machine."""
@@ -42,6 +45,21 @@ def _query(sql: str | None = None):
     return register
 
 
+#: The rules of op1_url_filter: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@_query(oracle.URL_FILTER)
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(table(spark, folder, "pages"), URL_RULES, keep=["page_id"])
+
+
 @_query()
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -65,6 +83,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary())
 
 
+@_query(oracle.QUOTATIONS)
+def op6_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return link_quotations(table(spark, folder, "conversations"), keep=["conv_id", "turn", "role"])
+
+
 @_query()
 def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
@@ -84,3 +107,8 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     n_items = F.size("items").cast("long").alias("n_items")
     return judged.select("doc_id", "n_words", "n_hit", n_items, digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query()
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
