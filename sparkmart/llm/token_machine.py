@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.piece_tokens import bytes_by_sign
 from sparkmart.llm.words import utf8
 
 CHUNK = 2048
@@ -42,20 +43,13 @@ ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 _LETTER, _DIGIT, _SPACE = regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), regex.compile(r"\s")
 
 
-def _bytes_by_sign() -> dict[str, int]:
-    """The vocabulary's signs for bytes: printable ones stand for themselves, the others are numbered from 256."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Merges:
     """The vocabulary, and which token may follow which."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             whole = json.load(f)
-        signs = _bytes_by_sign()
+        signs = bytes_by_sign()
         self.special = [t["content"] for t in whole.get("added_tokens", [])]
         raw = lambda s: bytes(signs[c] for c in s)
         self.tokens = {t: t for t in map(raw, (t for t in whole["model"]["vocab"] if t not in self.special))}
