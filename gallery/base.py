@@ -11,10 +11,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gallery.standins import RAW, TABLES
 from sparkmart.plans import entities, spec
-from sparkmart.sources.scan import spread
 from sparkmart.sources.tables import staging_folder
 
 
@@ -46,13 +46,28 @@ _WRITTEN: set[str] = set()
 
 
 @functools.cache
-def scratch() -> str:
-    """A folder of this process, used only where the session names no shared one."""
+def _process_folder() -> str:
     folder = tempfile.mkdtemp(prefix="sparkmart-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
+def scratch(spark: SparkSession) -> str:
+    """Where written tables go: the shared folder the session names, or, in one local process, a folder of that process."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return staging_folder(spark, "")
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _process_folder()
+
+
+def files_state(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, sizes and times of a folder's table files, listed by Spark without reading them."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    state = F.array_sort(F.collect_list(F.concat_ws("|", "path", "length", "modificationTime")))
+    return listing.agg(F.md5(F.array_join(state, ";")).alias("state")).first()["state"]
+
+
 class Tables:
     """The test tables of one folder, the raw entities derived from them, and their cleansed rows."""
 
@@ -67,9 +82,6 @@ class Tables:
         """A raw entity computed from its test tables."""
         text = RAW[entity]
         used = {t: self.table(t) for t in TABLES if f"{{{t}}}" in text}
-        for name in ("orders", "lineitem"):
-            if name in used:
-                used[name] = spread(used[name])
         return self.spark.sql(text, **used)
 
     def raw(self, entity: str) -> DataFrame:
@@ -82,11 +94,16 @@ class Tables:
     def cleansed(self, entity: str) -> DataFrame:
         return spec.admit(self.clean(entity), entities.ENTITIES[entity])
 
+    @functools.cached_property
+    def state(self) -> str:
+        """Which files there were when this object first wrote or read a derived table."""
+        return files_state(self.spark, self.folder)
+
     def place(self, name: str) -> str:
-        """Where this session keeps a written table derived from this folder."""
+        """Where this session keeps a written table derived from these files; other files, another place."""
         context = self.spark.sparkContext.applicationId
-        source = hashlib.md5(self.folder.encode()).hexdigest()[:8]
-        return f"{staging_folder(self.spark, scratch())}/sparkmart-{context}-{source}/{name}"
+        source = hashlib.md5(f"{self.folder}|{self.state}".encode()).hexdigest()[:12]
+        return f"{scratch(self.spark)}/sparkmart-{context}-{source}/{name}"
 
     def once(self, name: str, write: Callable[[str], None]) -> str:
         """Let ``write`` fill a folder the first time it is asked for; returns the folder."""
@@ -97,7 +114,7 @@ class Tables:
         return path
 
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table as the warehouse publishes it: written once per session, then read.
+        """A table as the warehouse publishes it: written once per session and state of the files, then read.
 
         Profiles and loads read raw tables, facts read cleansed tables and reports read facts, so
         nothing is derived again for every query. A written table also survives lost executors.

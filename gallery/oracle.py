@@ -291,15 +291,17 @@ def findings_sql(entity: str) -> str:
         )
         return with_ctes(" UNION ALL ".join(branches))
     subject = label if len(keys) == 1 else f"({label})"
-    same = " AND ".join(f"f.{k} = r.{k}" for k in keys)
-    twin = f"EXISTS (SELECT 1 FROM ranked_{entity} f WHERE {same} AND f.rn = 1 AND f.row_hash = r.row_hash)"
-    for test, ending in (
-        (twin, "identical content, deduplicated silently"),
-        (f"NOT {twin}", "conflicting content — investigate before reload"),
+    # rows per key, and per key and content; the kept row's content is that of rank 1
+    counted = (
+        f"(SELECT {label}, sum(n) AS n_rows, max(n) FILTER (WHERE first = 1) AS n_kept FROM (SELECT {label}, row_hash, count(*) AS n, "
+        f"min(rn) AS first FROM ranked_{entity} GROUP BY ALL) GROUP BY {label} HAVING sum(n) > 1)"
+    )
+    for amount, ending in (
+        ("n_kept - 1", "identical content, deduplicated silently"),
+        ("n_rows - n_kept", "conflicting content — investigate before reload"),
     ):
         branches.append(
-            f"SELECT '{label}', 'Duplicate {subject}: {ending}', count(*) FROM ranked_{entity} r "
-            f"WHERE r.rn > 1 AND {test} HAVING count(*) > 0"
+            f"SELECT '{label}', 'Duplicate {subject}: {ending}', CAST(sum({amount}) AS BIGINT) FROM {counted} HAVING sum({amount}) > 0"
         )
     return with_ctes(" UNION ALL ".join(branches))
 
@@ -390,39 +392,41 @@ def day_key(c: str) -> str:
     return f"year({c}) * 10000 + month({c}) * 100 + day({c})"
 
 
-CTES["fact_sales"] = f"""
-SELECT coalesce(pur.date_key, 0) AS purchase_date_key, coalesce(est.date_key, 0) AS estimated_delivery_date_key,
-       car.date_key AS carrier_handoff_date_key, del.date_key AS actual_delivery_date_key,
-       coalesce(customer_key, -1) AS customer_key, coalesce(seller_key, -1) AS seller_key,
-       coalesce(product_key, -1) AS product_key, coalesce(order_status_key, -1) AS order_status_key,
-       i.order_id, cast(order_item_id AS integer) AS order_item_id, price, freight_value,
-       cast(price + freight_value AS decimal(10,2)) AS total_value,
-       date_diff('day', order_purchase_timestamp, order_delivered_customer_date) AS purchase_to_delivery_days,
-       date_diff('day', order_estimated_delivery_date, order_delivered_customer_date) AS delivery_vs_estimate_days,
-       date_diff('hour', order_purchase_timestamp, order_approved_at) AS purchase_to_approval_hours,
-       date_diff('day', order_delivered_carrier_date, order_delivered_customer_date) AS carrier_to_delivery_days,
-       review_score
-FROM live_order_items i
-JOIN live_orders o ON o.order_id = i.order_id
-LEFT JOIN dim_date pur ON pur.date_key = {day_key('order_purchase_timestamp')}
-LEFT JOIN dim_date est ON est.date_key = {day_key('order_estimated_delivery_date')}
-LEFT JOIN dim_date car ON car.date_key = {day_key('order_delivered_carrier_date')}
-LEFT JOIN dim_date del ON del.date_key = {day_key('order_delivered_customer_date')}
-LEFT JOIN dim_customer dc ON dc.customer_id = o.customer_id
-LEFT JOIN dim_seller ds ON ds.seller_id = i.seller_id
-LEFT JOIN dim_product dp ON dp.product_id = i.product_id
-LEFT JOIN dim_order_status st ON st.source_value = o.order_status
-LEFT JOIN latest_review r ON r.order_id = i.order_id
+CTES["order_days"] = f"""
+SELECT order_id, role, day FROM (
+    SELECT order_id, role, day FROM (
+        SELECT order_id, {day_key('order_purchase_timestamp')} AS purchase, {day_key('order_estimated_delivery_date')} AS estimate,
+               {day_key('order_delivered_carrier_date')} AS handoff, {day_key('order_delivered_customer_date')} AS arrival
+        FROM live_orders) UNPIVOT (day FOR role IN (purchase, estimate, handoff, arrival)))
+WHERE day IN (SELECT date_key FROM dim_date)
+"""
+CTES["order_keys"] = """
+SELECT order_id, max(day) FILTER (WHERE role = 'purchase') AS purchase, max(day) FILTER (WHERE role = 'estimate') AS estimate,
+       max(day) FILTER (WHERE role = 'handoff') AS handoff, max(day) FILTER (WHERE role = 'arrival') AS arrival
+FROM order_days GROUP BY order_id
+"""
+CTES["order_grain"] = """
+SELECT order_id, ifnull(purchase, 0) AS purchase_date_key, ifnull(estimate, 0) AS estimated_delivery_date_key,
+       handoff AS carrier_handoff_date_key, arrival AS actual_delivery_date_key,
+       ifnull((SELECT max(customer_key) FROM dim_customer WHERE dim_customer.customer_id = live_orders.customer_id), -1) AS customer_key,
+       ifnull((SELECT max(order_status_key) FROM dim_order_status WHERE source_value = order_status), -1) AS order_status_key,
+       datediff('day', order_purchase_timestamp, order_delivered_customer_date) AS purchase_to_delivery_days,
+       datediff('day', order_estimated_delivery_date, order_delivered_customer_date) AS delivery_vs_estimate_days,
+       datediff('hour', order_purchase_timestamp, order_approved_at) AS purchase_to_approval_hours,
+       datediff('day', order_delivered_carrier_date, order_delivered_customer_date) AS carrier_to_delivery_days, review_score
+FROM live_orders LEFT JOIN order_keys USING (order_id) LEFT JOIN latest_review USING (order_id)
+"""
+CTES["fact_sales"] = """
+SELECT order_grain.* EXCLUDE (order_id), order_id, CAST(order_item_id AS INTEGER) AS order_item_id, price, freight_value,
+       CAST(price + freight_value AS DECIMAL(10,2)) AS total_value,
+       ifnull((SELECT max(seller_key) FROM dim_seller WHERE dim_seller.seller_id = live_order_items.seller_id), -1) AS seller_key,
+       ifnull((SELECT max(product_key) FROM dim_product WHERE dim_product.product_id = live_order_items.product_id), -1) AS product_key
+FROM order_grain JOIN live_order_items USING (order_id)
 """
-CTES["fact_payments"] = f"""
-SELECT coalesce(pur.date_key, 0) AS purchase_date_key, coalesce(customer_key, -1) AS customer_key,
-       coalesce(payment_type_key, -1) AS payment_type_key, p.order_id, payment_sequential, payment_installments,
-       payment_value
-FROM live_order_payments p
-JOIN live_orders o ON o.order_id = p.order_id
-LEFT JOIN dim_date pur ON pur.date_key = {day_key('order_purchase_timestamp')}
-LEFT JOIN dim_customer dc ON dc.customer_id = o.customer_id
-LEFT JOIN dim_payment_type t ON t.source_value = p.payment_type
+CTES["fact_payments"] = """
+SELECT purchase_date_key, customer_key, order_id, payment_sequential, payment_installments, payment_value,
+       ifnull((SELECT max(payment_type_key) FROM dim_payment_type WHERE source_value = payment_type), -1) AS payment_type_key
+FROM order_grain JOIN live_order_payments USING (order_id)
 """
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gallery.base import Tables, example
 from gallery.oracle import any_ts, dec, num, pct, ts, with_ctes
@@ -36,15 +37,22 @@ def row_counts(t: Tables):
     return result
 
 
-@example("E-01, O-03", _union([f"SELECT '{e}' AS entity, least(count(*), 10) AS shown FROM raw_{e}" for e in RAW]))
+def _as_text(columns: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce({c}, '(NULL)')" for c in columns)
+
+
+@example("E-01, O-03", _union([
+    f"SELECT '{e}' AS entity, place, row_text FROM (SELECT {_as_text(c)} AS row_text, row_number() OVER (ORDER BY {_as_text(c)}) AS place "
+    f"FROM raw_{e}) WHERE place <= 10" for e, c in _COLUMNS.items()]))
 def preview_rows(t: Tables):
-    """How many rows the preview of each raw entity shows; which ones is not determined."""
-    frames = [
-        profile.preview(t.raw(e)).agg(F.count("*").alias("shown")).select(F.lit(e).alias("entity"), "shown") for e in RAW
-    ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
+    """Ten rows of each raw entity, the first by their text, so that they are the same every time."""
+    result = None
+    for e, columns in _COLUMNS.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("(NULL)")) for c in columns])
+        shown = profile.preview(t.raw(e).select(text.alias("row_text")).orderBy("row_text"))
+        # the window sees the ten rows of the preview only
+        numbered = shown.withColumn("place", F.row_number().over(Window.orderBy("row_text")).cast("long")).withColumn("entity", F.lit(e))
+        result = numbered if result is None else result.unionByName(numbered)
     return result
 
 
@@ -54,8 +62,7 @@ def _register_columns() -> None:
     clean = f"min({bare}) AS min_length_quotes_cleansed, max({bare}) AS max_length_quotes_cleansed"
     nulls = "count(*) FILTER (WHERE {c} IS NULL) AS null_count"
     empty = "count(*) FILTER (WHERE trim(replace({c}, '\"', '')) = '') AS empty_count"
-    for e in ("orders", "order_items", "customers", "order_reviews", "products"):
-        cols = _COLUMNS[e]
+    for e, cols in _COLUMNS.items():
         example("E-03, P-06, F-25", _per_column(e, plain), f"text_lengths_{e}")(
             lambda t, e=e, cols=cols: profile.text_lengths(t.raw(e), cols))
         example("E-04, F-02", _per_column(e, clean), f"unquoted_lengths_{e}")(
@@ -161,13 +168,28 @@ def duplicate_people(t: Tables):
     return integrity.duplicate_keys(t.raw("customers"), ["customer_unique_id"])
 
 
-@example("E-09", with_ctes("""
-SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state, count(*) AS cnt
-FROM raw_geolocation GROUP BY ALL HAVING count(*) > 1"""))
+_PLACE = ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"]
+
+
+@example("E-09", with_ctes(f"""
+SELECT {', '.join(_PLACE)}, count(*) AS cnt FROM raw_geolocation GROUP BY ALL HAVING count(*) > 1"""))
 def duplicate_places(t: Tables):
-    """Places that occur more than once."""
-    keys = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]
-    return integrity.duplicate_keys(t.raw("geolocation"), keys, "cnt")
+    """Geolocation rows that occur more than once, all columns alike."""
+    return integrity.duplicate_keys(t.raw("geolocation"), _PLACE, "cnt")
+
+
+def _register_duplicates() -> None:
+    for name, entity, key in (
+        ("orders", "orders", "order_id"), ("customers", "customers", "customer_id"), ("reviews", "order_reviews", "review_id"),
+        ("products", "products", "product_id"), ("sellers", "sellers", "seller_id"),
+        ("categories", "product_category_name_translation", "product_category_name"),
+        ("category_names", "product_category_name_translation", "product_category_name_english"),
+    ):
+        sql = with_ctes(f"SELECT {key}, count(*) AS duplicate_cnt FROM raw_{entity} GROUP BY 1 HAVING count(*) > 1")
+        example("E-09, A-09", sql, f"duplicate_{name}")(lambda t, e=entity, k=key: integrity.duplicate_keys(t.raw(e), [k]))
+
+
+_register_duplicates()
 
 
 def _share(entity: str, column: str, expression: str | None = None) -> str:
@@ -329,7 +351,7 @@ def top_seller_cities(t: Tables):
 def _city_states(entity: str, prefix: str) -> str:
     return with_ctes(f"""
 SELECT {prefix}_city, count({prefix}_state) AS distinct_states, string_agg({prefix}_state, ', ' ORDER BY {prefix}_state) AS states
-FROM (SELECT DISTINCT {prefix}_city, {prefix}_state FROM raw_{entity}) GROUP BY 1 HAVING count({prefix}_state) > 1""")
+FROM (SELECT DISTINCT {prefix}_city, {prefix}_state FROM raw_{entity} WHERE {prefix}_city IS NOT NULL) GROUP BY 1 HAVING count({prefix}_state) > 1""")
 
 
 @example("E-21, A-11, A-13", _city_states("customers", "customer"))
@@ -469,9 +491,10 @@ def top_sellers(t: Tables):
 
 
 @example("E-31, A-11", with_ctes("""
-SELECT order_id, count(DISTINCT payment_type) AS distinct_payment_types,
-       string_agg(payment_type, ', ' ORDER BY payment_type) AS payment_types, count(*) AS row_count
-FROM raw_order_payments GROUP BY 1 HAVING count(DISTINCT payment_type) > 1"""))
+SELECT order_id, count(payment_type) AS distinct_payment_types,
+       string_agg(payment_type || ' x' || n, ', ' ORDER BY payment_type) AS payment_types, cast(sum(n) AS bigint) AS row_count
+FROM (SELECT order_id, payment_type, count(*) AS n FROM raw_order_payments WHERE order_id IS NOT NULL GROUP BY ALL)
+GROUP BY 1 HAVING count(payment_type) > 1"""))
 def mixed_payment_orders(t: Tables):
     """Orders paid in several ways."""
     return stats.repeated_values(t.raw("order_payments"), "order_id", "payment_type")
@@ -534,3 +557,13 @@ def untranslated_categories(t: Tables):
     return profile.untranslated(t.raw("products"), t.raw("product_category_name_translation"))
 
 
+@example("E-35, J-08", with_ctes("""
+SELECT count(DISTINCT product_category_name) AS products_categories_without_translation_cnt FROM raw_products
+WHERE product_category_name NOT IN (
+    SELECT product_category_name FROM raw_product_category_name_translation WHERE product_category_name IS NOT NULL)"""))
+def untranslated_category_count(t: Tables):
+    """How many categories the translation does not cover."""
+    found = profile.untranslated(t.raw("products"), t.raw("product_category_name_translation"))
+    return found.agg(F.count("*").alias("products_categories_without_translation_cnt"))
+
+

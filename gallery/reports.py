@@ -12,6 +12,7 @@ from gallery.oracle import with_ctes
 from gallery.star import Star
 from sparkmart.functions import dates
 from sparkmart.functions.numbers import ratio
+from sparkmart.operators.skew import hot_values, salted_join
 from sparkmart.plans import kpi, measures
 from sparkmart.plans.lookups import order_status_dim, payment_type_dim
 
@@ -97,6 +98,12 @@ def sales_measures_total(t: Tables):
     return _money_as_double(measures.measure(Star(t).sales(), list(_SALES_SQL)))
 
 
+def _described(fact: DataFrame, dimension: DataFrame, key: str, label: str) -> DataFrame:
+    """Fact rows with one label of a dimension; members with many rows, like the unknown one, are spread over tasks."""
+    hot = hot_values(fact, [key])[key]
+    return salted_join(fact, dimension.select(key, label), key, "inner", hot, ["order_id", "order_item_id"])
+
+
 _CATEGORY = ["total_revenue", "total_items_sold", "avg_item_price", "freight_share", "total_orders"]
 
 
@@ -106,7 +113,7 @@ GROUP BY 1 ORDER BY total_revenue DESC, 1 LIMIT 5"""))
 def top_categories(t: Tables):
     """The five categories with most revenue."""
     star = Star(t)
-    fact = star.sales().join(star.products().select("product_key", "product_category_name_english"), "product_key")
+    fact = _described(star.sales(), star.products(), "product_key", "product_category_name_english")
     grouped = measures.measure(fact, _CATEGORY, ["product_category_name_english"])
     return _money_as_double(measures.top_values(grouped, "product_category_name_english", "total_revenue"))
 
@@ -117,7 +124,7 @@ FROM fact_sales JOIN dim_customer USING (customer_key) GROUP BY 1 ORDER BY uniqu
 def top_states(t: Tables):
     """The five states with most customers."""
     star = Star(t)
-    fact = star.sales().join(star.customers().select("customer_key", "customer_state_name"), "customer_key")
+    fact = _described(star.sales(), star.customers(), "customer_key", "customer_state_name")
     grouped = measures.measure(fact, ["unique_customers", "avg_delivery_days", "total_orders"], ["customer_state_name"])
     return measures.top_values(grouped, "customer_state_name", "unique_customers")
 
@@ -203,8 +210,8 @@ def axis_maxima(t: Tables):
     """Upper ends for the eight chart axes."""
     star, spark = Star(t), t.spark
     sales = star.sales()
-    products = sales.join(star.products().select("product_key", "product_category_name_english"), "product_key")
-    states = sales.join(star.customers().select("customer_key", "customer_state_name"), "customer_key")
+    products = _described(sales, star.products(), "product_key", "product_category_name_english")
+    states = _described(sales, star.customers(), "customer_key", "customer_state_name")
     statuses = sales.join(F.broadcast(order_status_dim(spark).select("order_status_key", "status_name")), "order_status_key")
     types = star.payments().join(
         F.broadcast(payment_type_dim(spark).select("payment_type_key", "payment_type_name")), "payment_type_key")
@@ -313,9 +320,10 @@ def boundary_differences(t: Tables):
     start = F.col("o_orderdate") + F.expr("INTERVAL '659' MINUTE")
     end = F.col("l_shipdate") + F.expr("INTERVAL '661' MINUTE")
     lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    orders = t.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    orders = t.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
     priority = F.col("o_orderpriority")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    hot = hot_values(lines, ["l_orderkey"])["l_orderkey"]
+    return salted_join(lines, orders, "l_orderkey", "inner", hot, ["l_linenumber", "l_partkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         dates.days_between(start, end).alias("days"), dates.hours_between(start, end).alias("hours"),
         F.left(priority, F.length(priority) - 3).alias("head"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gallery.base import Tables, example
-from gallery.oracle import with_ctes
+from gallery.oracle import findings_sql, with_ctes
 from sparkmart.plans import entities, ledger, spec
 from sparkmart.sources import delimited, raw
 
@@ -106,12 +106,9 @@ def loads_of_newest_job(t: Tables):
     return ledger.rows_of_newest_job(loads, loads.withColumnRenamed("load_ts", "start_ts")).select("event_id", "status")
 
 
-@example("L-02, L-03, L-07", with_ctes("""
-SELECT table_name, column_name, issue, affected_row_count FROM (
-    SELECT 'order_items' AS table_name, 'price' AS column_name, 'Invalid range: must be > 0' AS issue, count(*) AS affected_row_count
-    FROM clean_order_items WHERE price <= 0 HAVING count(*) > 0)"""))
+@example("L-03, L-07", f"SELECT 'order_items' AS table_name, f.* FROM ({findings_sql('order_items')}) f")
 def findings_of_batch(t: Tables):
-    """Findings of one batch out of a quality log of two; the batch's price finding."""
+    """Findings of one batch out of a quality log of two."""
     found = spec.issues(t.clean("order_items"), entities.ORDER_ITEMS)
     log = None
     for batch in ("one", "two"):
@@ -119,7 +116,7 @@ def findings_of_batch(t: Tables):
             F.lit(batch).alias("batch_id"), F.lit("job").alias("job_run_id"), F.lit("order_items").alias("table_name"),
             "column_name", "issue", "affected_row_count")
         log = rows if log is None else log.unionByName(rows)
-    return ledger.batch_issues(log, "two").where("issue = 'Invalid range: must be > 0'")
+    return ledger.batch_issues(log, "two")
 
 
 @example("L-05, L-06", """
@@ -144,17 +141,13 @@ def _files(t: Tables, name: str, rows: DataFrame, **options: object) -> str:
         f"files_{name}", lambda path: rows.write.mode("overwrite").options(header=True, **options).csv(path))
 
 
-@example("S-01", with_ctes("""
-SELECT count(*) AS row_count, count(price) AS prices, count(freight_value) AS freights, count(order_id) AS orders,
-       cast(sum(length(coalesce(order_id, '')) + length(order_item_id)) AS bigint) AS text_size FROM raw_order_items"""))
+@example("S-01", with_ctes(
+    "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in entities.ORDER_ITEMS.columns) + " FROM raw_order_items"))
 def read_comma_files(t: Tables):
     """Items written as comma-separated text and read back with literal quotes and NULL for empty fields."""
-    spec_ = entities.ORDER_ITEMS
-    path = _files(t, "items", t.raw("order_items"), sep=",", quote="", emptyValue="", ignoreLeadingWhiteSpace=False)
-    return delimited.read_delimited(t.spark, path, spec_).agg(
-        F.count("*").alias("row_count"), F.count("price").alias("prices"), F.count("freight_value").alias("freights"),
-        F.count("order_id").alias("orders"),
-        F.sum(F.length(F.coalesce("order_id", F.lit(""))) + F.length("order_item_id")).alias("text_size"))
+    path = _files(t, "items", t.raw("order_items"), sep=",", quote="", emptyValue="", ignoreLeadingWhiteSpace=False,
+                  ignoreTrailingWhiteSpace=False)
+    return delimited.read_delimited(t.spark, path, entities.ORDER_ITEMS)
 
 
 @example("S-02", with_ctes("""
@@ -175,8 +168,9 @@ _FLAT = r"nullif(trim(regexp_replace(text, '[|\r\n]', ' ', 'g')), '')"
 _NOTES_SQL = f"SELECT cast(doc_id AS varchar) AS doc_id, sha256({_FLAT}) AS note_hash, length({_FLAT}) AS note_length, lang FROM documents"
 
 
-def _notes(t: Tables, name: str) -> str:
+def _notes(t: Tables, name: str, files: int | None = None) -> str:
     rows = t.table("documents").select(F.col("doc_id").cast("string"), F.col("text").alias("note"), "lang")
+    rows = rows.repartition(files) if files else rows
     return _files(t, name, rows, sep=",", quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
                   ignoreTrailingWhiteSpace=False)
 
@@ -194,8 +188,8 @@ def read_quoted_files(t: Tables):
 
 @example("S-03", _NOTES_SQL)
 def read_quoted_splits(t: Tables):
-    """The same documents read in splits, records put together across split borders."""
-    return _hashed(delimited.read_quoted_split(t.spark, _notes(t, "notes_split"), _NOTES))
+    """The same documents delivered as many files, each read by a task of its own."""
+    return _hashed(delimited.read_quoted(t.spark, _notes(t, "notes_split", 12), _NOTES))
 
 
 @example("S-04, S-07, S-08, F-30", with_ctes("SELECT order_status, count(*) AS cnt FROM raw_orders GROUP BY 1"))

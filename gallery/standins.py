@@ -6,7 +6,10 @@ some values (quotes, blanks, upper-case ids, bad dates and numbers) so that each
 
 from __future__ import annotations
 
-_STATES = "ACALAMAPBACEDFESGOMAMGMSMTPAPBPEPIPRRJRNRORRRSSCSE"
+from sparkmart.plans.lookups import STATE_NAMES
+
+#: State codes by nation key, each two letters.
+_STATES = "".join(sorted(STATE_NAMES)[:25])
 
 
 def _id(column: str) -> str:
@@ -187,7 +190,6 @@ SELECT
          ELSE cast({_ASKED} + (cast(floor(o_totalprice) AS bigint) % 9000) * INTERVAL '1' MINUTE AS string)
          END AS review_answer_timestamp
 FROM {{orders}}
-WHERE o_orderstatus <> 'P'
 UNION ALL
 SELECT
     md5('b' || cast(o_orderkey AS string)) AS review_id,

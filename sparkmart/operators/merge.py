@@ -77,13 +77,23 @@ def action_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def assign_keys(rows: DataFrame, natural_key: str, start: Column, name: str, digits: int = 3) -> DataFrame:
+def slice_digits(partitions: int) -> int:
+    """Hex digits that cut keys into at least four slices a partition: the fewest that do, one at least."""
+    digits = 1
+    while 16**digits < 4 * partitions:
+        digits += 1
+    return digits
+
+
+def assign_keys(rows: DataFrame, natural_key: str, start: Column, name: str, digits: int | None = None) -> DataFrame:
     """Number unique natural keys start+1, start+2, ... in order of their digest.
 
-    The first hex ``digits`` of the digest cut the keys into ``16**digits`` even slices. Rows are
-    numbered inside their slice; slice offsets come from a table of one row per slice, which is
-    the only thing that is sorted as a whole or broadcast.
+    The first hex ``digits`` of the digest (see :func:`slice_digits`) cut the keys into even slices. Rows are numbered inside
+    their slice; slice offsets come from a table of one row per slice, at most 64 for each shuffle partition, which is the only
+    thing that is sorted as a whole. The numbers do not depend on the digits.
     """
+    if digits is None:
+        digits = slice_digits(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     digest = F.md5(F.col(natural_key).cast("binary"))
     sliced = rows.withColumn("_digest", digest).withColumn("_slice", F.substring("_digest", 1, digits))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,7 +105,7 @@ def assign_keys(rows: DataFrame, natural_key: str, start: Column, name: str, dig
     inside = Window.partitionBy("_slice").orderBy("_digest", natural_key)
     numbered = sliced.withColumn("_place", F.row_number().over(inside))
     return (
-        numbered.join(F.broadcast(offsets), "_slice")
+        numbered.join(offsets, "_slice")
         .withColumn(name, (start + F.col("_offset") + F.col("_place")).cast("long"))
         .drop("_slice", "_digest", "_place", "_offset")
     )
@@ -106,14 +116,16 @@ def merge_dimension(
 ) -> DataFrame:
     """Type 1 dimension load: existing members keep their surrogate, new ones get the next.
 
-    The unknown member (surrogate -1) is never soft deleted.
+    Source and target meet in one join; only the rows it inserts are numbered. The unknown member (surrogate -1) is never soft
+    deleted.
     """
     newest = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top"))
     start = F.greatest(newest.scalar(), F.lit(0))
-    new_members = source.select(natural_key).join(target.select(natural_key), natural_key, "left_anti")
-    numbered = assign_keys(new_members, natural_key, start, surrogate)
-    keyed = source.join(numbered, natural_key, "left")
-    return merge_upsert(target, keyed, [natural_key], now, protect=F.col(surrogate) == -1, keep=[surrogate])
+    unnumbered = source.withColumn(surrogate, F.lit(None).cast("long"))
+    merged = merge_upsert(target, unnumbered, [natural_key], now, protect=F.col(surrogate) == -1, keep=[surrogate])
+    fresh = merged.where(F.col("_action") == INSERT).drop(surrogate)
+    numbered = assign_keys(fresh, natural_key, start, surrogate).select(*merged.columns)
+    return merged.where(F.col("_action") != INSERT).unionByName(numbered)
 
 
 def insert_missing(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -72,8 +72,8 @@ def distinct_count(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def joined_values(df: DataFrame, by: str, value: str, distinct_name: str, list_name: str) -> DataFrame:
-    """Groups with more than one different value, and those values in order as text."""
-    pairs = df.select(by, value).distinct()
+    """Groups with more than one different value, and those values in order as text; rows without a group are no group."""
+    pairs = df.where(F.col(by).isNotNull()).select(by, value).distinct()
     listed = pairs.groupBy(by).agg(
         F.count(value).alias(distinct_name), F.expr(f"listagg({value}, ', ') within group (order by {value})").alias(list_name)
     )
@@ -81,18 +81,16 @@ def joined_values(df: DataFrame, by: str, value: str, distinct_name: str, list_n
 
 
 def repeated_values(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Groups with several different values: how many, every row's value in order, and rows.
+    """Groups with several different values: how many, each value in order with its rows ("a x2, b x1"), and rows.
 
-    Repeats are counted before they are written out, so a group is held as a handful of counts.
+    Text holds one entry per different value, not per row, so it stays short however many rows a group has. Rows without a
+    group are no group.
     """
-    counted = df.groupBy(by, value).agg(F.count("*").alias("n"))
-    text = F.expr(f"repeat(concat({value}, ', '), cast(n as int))")
+    counted = df.where(F.col(by).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
+    text = F.expr(f"concat({value}, ' x', cast(n as string))")
     grouped = counted.withColumn("run", text).groupBy(by).agg(
         F.count(value).alias(f"distinct_{value}s"),
-        F.expr(f"listagg(run, '') within group (order by {value})").alias("run"),
+        F.expr(f"listagg(run, ', ') within group (order by {value}, run)").alias(f"{value}s"),
         F.sum("n").alias("row_count"),
     )
-    trimmed = F.left("run", F.length("run") - 2)
-    return grouped.where(F.col(f"distinct_{value}s") > 1).select(
-        by, f"distinct_{value}s", trimmed.alias(f"{value}s"), "row_count"
-    )
+    return grouped.where(F.col(f"distinct_{value}s") > 1).select(by, f"distinct_{value}s", f"{value}s", "row_count")

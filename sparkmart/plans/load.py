@@ -26,6 +26,10 @@ class NoSourceBatch(ValueError):
     """The raw load this table depends on has not succeeded yet."""
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 class Warehouse:
     """A warehouse under one root folder. Every load writes its ledger rows and returns its counts."""
 
@@ -61,7 +65,7 @@ class Warehouse:
         except Exception as error:
             self._log(
                 "error_log", batch_id=base.get("batch_id"), job_run_id=job, pipeline=base["pipeline"],
-                error_message=str(error)[:4000], error_ts=ledger.utc_now(), file_name=base.get("file_name"),
+                error_message=str(error), error_ts=ledger.utc_now(), file_name=base.get("file_name"),
             )
             close(rows_processed=0, status="FAILED")
             raise
@@ -74,14 +78,12 @@ class Warehouse:
         self, spec: EntitySpec, path: str, job: str | None = None, quoted: bool | None = None
     ) -> str:
         """Append a file as a new batch; returns the batch id."""
-        batch, name = str(uuid.uuid4()), path.rstrip("/").rsplit("/", 1)[-1]
+        batch, name = str(uuid.uuid4()), _name(path)
 
         def work() -> dict:
             use_quotes = spec.quoted_source if quoted is None else quoted
             read = delimited.read_quoted if use_quotes else delimited.read_delimited
-            raw.append_raw(read(self.spark, path, spec), f"{self.root}/raw/{spec.name}", batch, name)
-            rows = raw.read_batch(self.spark, f"{self.root}/raw/{spec.name}", batch).count()
-            return {"rows_processed": rows}
+            return {"rows_processed": raw.append_raw(read(self.spark, path, spec), f"{self.root}/raw/{spec.name}", batch)}
 
         self._run("RAW", spec.name, job, work, batch_id=batch, file_name=name)
         return batch
@@ -138,13 +140,13 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame | None:
         return tables.read_current(self.spark, self.root, f"mart/{name}")
 
-    def load_dimension(self, dim: mart.Dimension, source: DataFrame, job: str | None = None) -> dict:
+    def load_dimension(self, dim: mart.Dimension, source: DataFrame | Callable[[], DataFrame], job: str | None = None) -> dict:
         def work() -> dict:
+            rows = source() if callable(source) else source
             now = ledger.utc_now()
             target = self.mart(dim.name)
             target = dim.empty(self.spark, now) if target is None else dim.with_unknown(target, now)
-            # the source is read to find new members and again to merge
-            with tables.materialised(source, f"{self.root}/_staging") as members:
+            with tables.materialised(rows, f"{self.root}/_staging") as members:
                 merged = merge.merge_dimension(target, members, dim.natural, dim.surrogate, F.lit(now))
                 return self._publish(merged, f"mart/{dim.name}")
 
@@ -168,11 +170,16 @@ class Warehouse:
     def load_mart(
         self, job: str | None = None, start: dt.date = dt.date(2016, 1, 1), end: dt.date = dt.date(2018, 12, 31)
     ) -> None:
-        """All dimensions, then both facts as full reloads."""
+        """All dimensions, then both facts as full reloads; what fails leaves its row in the ledger."""
+
         loaded = {name: self.cleansed(name) for name in entities.ENTITIES}
         missing = [name for name, frame in loaded.items() if frame is None]
-        if missing:
+
+        def refuse() -> dict:
             raise NoSourceBatch(f"not loaded yet: {', '.join(missing)}")
+
+        if missing:
+            self._run("MART", "sources", job, refuse)
         geo, orders, items = loaded["geolocation"], loaded["orders"], loaded["order_items"]
         payments = loaded["order_payments"]
 
@@ -180,33 +187,60 @@ class Warehouse:
         self._load_missing("dim_order_status", order_status_dim(self.spark), "order_status_key", job)
         self._load_missing("dim_payment_type", payment_type_dim(self.spark), "payment_type_key", job)
 
-        def hot(name: str, column: str) -> list:
+        def hot(name: str, column: str) -> dict:
             return hot_values(loaded[name], [column])[column]
 
-        self.load_dimension(mart.DIM_CUSTOMER, mart.customer_source(
+        self.load_dimension(mart.DIM_CUSTOMER, lambda: mart.customer_source(
             loaded["customers"], geo, hot("customers", "customer_zip_code_prefix")), job)
-        self.load_dimension(mart.DIM_SELLER, mart.seller_source(
+        self.load_dimension(mart.DIM_SELLER, lambda: mart.seller_source(
             loaded["sellers"], geo, hot("sellers", "seller_zip_code_prefix")), job)
-        self.load_dimension(mart.DIM_PRODUCT, mart.product_source(
+        self.load_dimension(mart.DIM_PRODUCT, lambda: mart.product_source(
             loaded["products"], loaded["product_category_name_translation"],
             hot("products", "product_category_name")), job)
 
         dates, customers = self.mart("dim_date"), self.mart("dim_customer")
-        buyers = hot_values(orders, ["customer_id"])
-        heavy = {**buyers, **hot_values(items, ["order_id", "seller_id", "product_id"])}
-        self._load_whole("fact_sales", lambda: mart.fact_sales(
-            items, orders, loaded["order_reviews"], dates, customers, self.mart("dim_seller"),
-            self.mart("dim_product"), self.mart("dim_order_status"), heavy,
-        ).withColumn("mart_load_ts", F.current_timestamp()), job)
-        self._load_whole("fact_payments", lambda: mart.fact_payments(
-            payments, orders, dates, customers, self.mart("dim_payment_type"),
-            {**buyers, **hot_values(payments, ["order_id"])},
-        ).withColumn("mart_load_ts", F.current_timestamp()), job)
+
+        def sales() -> DataFrame:
+            heavy = {**hot_values(orders, ["customer_id"]), **hot_values(items, ["order_id", "seller_id", "product_id"])}
+            return mart.fact_sales(
+                items, orders, loaded["order_reviews"], dates, customers, self.mart("dim_seller"),
+                self.mart("dim_product"), self.mart("dim_order_status"), heavy,
+            ).withColumn("mart_load_ts", F.current_timestamp())
+
+        def paid() -> DataFrame:
+            heavy = {**hot_values(orders, ["customer_id"]), **hot_values(payments, ["order_id"])}
+            return mart.fact_payments(
+                payments, orders, dates, customers, self.mart("dim_payment_type"), heavy
+            ).withColumn("mart_load_ts", F.current_timestamp())
+
+        self._load_whole("fact_sales", sales, job)
+        self._load_whole("fact_payments", paid, job)
 
     # -- whole run --------------------------------------------------------------------------
 
-    def run_full(self, files: Mapping[str, str], triggered_by: str = "MANUAL", **mart_options: object) -> str:
-        """Load every file, clean every entity, rebuild the mart; stops at the first failure."""
+    def changed(self, files: Mapping[str, str]) -> dict[str, str]:
+        """Those of the files that were never loaded, or modified since a load that went through to the cleansed table."""
+        loads = self.log("load_log").where(F.col("status") == "SUCCESS")
+        raws = loads.where("layer = 'RAW'").select("batch_id", F.replace("pipeline", F.lit("raw."), F.lit("")).alias("file_name"), "load_ts")
+        clean = loads.where("layer = 'CLEANSED'").select("batch_id").distinct()
+        finished = raws.join(clean, "batch_id").select("file_name", "load_ts", F.lit("SUCCESS").alias("status"))
+        sources = None
+        for name, path in files.items():
+            stamps = raw.file_times(self.spark, path).select(F.lit(name).alias("file_name"), "modified_ts")
+            sources = stamps if sources is None else sources.unionByName(stamps)
+        if sources is None:
+            return {}
+        newest = sources.groupBy("file_name").agg(F.max("modified_ts").alias("modified_ts"))
+        due = {r["file_name"] for r in raw.changed_sources(newest, finished).collect()}  # at most one row for each file
+        return {name: path for name, path in files.items() if name in due}
+
+    def run_full(
+        self, files: Mapping[str, str], triggered_by: str = "MANUAL", every: bool = False, **mart_options: object
+    ) -> str:
+        """Load the files that changed, clean their entities, rebuild the mart; stops at the first failure.
+
+        Unchanged files leave a SKIPPED row in the ledger; ``every`` loads them too. Nothing changed, nothing is rebuilt.
+        """
         job, start = str(uuid.uuid4()), ledger.utc_now()
         base = {"job_run_id": job, "job_name": "FULL_LOAD", "start_ts": start, "triggered_by": triggered_by}
         self._log("job_log", **base, status="RUNNING")
@@ -223,11 +257,19 @@ class Warehouse:
             )
 
         try:
-            for name, path in files.items():
-                self.load_raw(entities.ENTITIES[name], path, job)
+            due = files if every else self.changed(files)
             for name in files:
+                if name not in due:
+                    now = ledger.utc_now()
+                    self._log(
+                        "load_log", log_id=uuid.uuid4().hex, job_run_id=job, pipeline=f"raw.{name}", layer="RAW", table_name=f"raw/{name}",
+                        rows_processed=0, status="SKIPPED", load_ts=now, file_name=_name(files[name]), processed_duration_ms=0)
+            for name, path in due.items():
+                self.load_raw(entities.ENTITIES[name], path, job)
+            for name in due:
                 self.load_cleansed(entities.ENTITIES[name], job)
-            self.load_mart(job, **mart_options)
+            if due:
+                self.load_mart(job, **mart_options)
         except Exception:
             close(completed=False)
             raise

@@ -14,8 +14,6 @@ from sparkmart.operators import quality
 from sparkmart.operators.skew import salted_join
 from sparkmart.plans.lookups import CATEGORY_LABELS, STATE_NAMES
 
-DATE_DIM_LIMIT_DAYS = 200_000  # about 550 years: the date dimension is always small enough to broadcast
-
 _DATE_COLUMNS = (
     ("date_key", "int"), ("full_date", "date"), ("year", "short"), ("iso_year", "short"), ("quarter", "short"),
     ("month", "short"), ("month_name", "string"), ("year_month_key", "int"), ("year_month", "string"),
@@ -58,8 +56,6 @@ def date_dim(
     spark: SparkSession, start: dt.date = dt.date(2016, 1, 1), end: dt.date = dt.date(2018, 12, 31)
 ) -> DataFrame:
     """One row per day from start to end, plus the unknown date 0."""
-    if (end - start).days > DATE_DIM_LIMIT_DAYS:
-        raise ValueError("date range too long for a broadcast dimension")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("d"))
     return describe_dates(days, F.col("d")).unionByName(unknown_date(spark))
 
@@ -67,13 +63,8 @@ def date_dim(
 def covering_date_dim(stamps: DataFrame, column: str) -> DataFrame:
     """The date dimension from the first to the last date found in a column."""
     span = stamps.agg(F.min(F.col(column).cast("date")).alias("a"), F.max(F.col(column).cast("date")).alias("z"))
-    in_range = F.datediff("z", "a") <= DATE_DIM_LIMIT_DAYS
-    checked = span.where("a IS NOT NULL").select(
-        F.when(in_range, F.sequence("a", "z"))
-        .otherwise(F.raise_error(F.lit("date range too long for a broadcast dimension")))
-        .alias("days")
-    )
-    described = describe_dates(checked.select(F.explode("days").alias("d")), F.col("d"))
+    days = span.where("a IS NOT NULL").select(F.explode(F.sequence("a", "z")).alias("d"))
+    described = describe_dates(days, F.col("d"))
     return described.unionByName(unknown_date(stamps.sparkSession))
 
 
@@ -196,8 +187,8 @@ def latest_review(reviews: DataFrame) -> DataFrame:
 
 
 def _date_role(df: DataFrame, dim_date: DataFrame, stamp: str, role: str, default: int | None) -> DataFrame:
-    """Resolve one date role; a date outside the dimension gets the default."""
-    keys = F.broadcast(dim_date.select(F.col("date_key").alias(role)))
+    """Resolve one date role; a date outside the dimension gets the default. Spark sees the dimension's size and chooses the join."""
+    keys = dim_date.select(F.col("date_key").alias(role))
     computed = df.withColumn(f"_{role}", dates.date_key(F.col(stamp)))
     joined = computed.join(keys, F.col(f"_{role}") == F.col(role), "left").drop(f"_{role}")
     return joined if default is None else joined.withColumn(role, F.coalesce(F.col(role), F.lit(default)))
@@ -282,7 +273,7 @@ def fact_sales(
         F.coalesce("product_key", F.lit(-1)).alias("product_key"),
         "order_status_key",
         "order_id",
-        F.col("order_item_id").cast("int").alias("order_item_id"),
+        F.col("order_item_id").try_cast("int").alias("order_item_id"),
         "price",
         "freight_value",
         (F.col("price") + F.col("freight_value")).cast("decimal(10,2)").alias("total_value"),

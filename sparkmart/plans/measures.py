@@ -40,6 +40,8 @@ def sales_parts() -> dict[str, Part]:
         "revenue": Part(F.sum("total_value")),
         "price": Part(F.sum("price")),
         "freight": Part(F.sum("freight_value")),
+        "n_price": Part(F.count("price")),
+        "n_freight": Part(F.count("freight_value")),
         "items": Part(F.count("*")),
         "orders": Part(F.count("*"), "orders"),
         # an order belongs to one customer, so one value per order is enough
@@ -64,7 +66,7 @@ def payment_parts() -> dict[str, Part]:
         "paid": Part(F.sum("payment_value")),
         "card_paid": Part(F.sum(F.when(card, F.col("payment_value")))),
         "card_installments": Part(F.sum(F.when(card, F.col("payment_installments")))),
-        "card_rows": Part(F.count_if(card)),
+        "n_installments": Part(F.count(F.when(card, F.col("payment_installments")))),
     }
 
 
@@ -82,8 +84,8 @@ def sales_measures() -> list[Measure]:
         Measure("total_orders", ["orders"], c("orders")),
         Measure("avg_order_value", ["revenue", "orders"], ratio(c("revenue"), c("orders"))),
         Measure("total_items_sold", ["items"], c("items")),
-        Measure("avg_item_price", ["price", "items"], ratio(c("price"), c("items"))),
-        Measure("avg_freight_value", ["freight", "items"], ratio(c("freight"), c("items"))),
+        Measure("avg_item_price", ["price", "n_price"], ratio(c("price"), c("n_price"))),
+        Measure("avg_freight_value", ["freight", "n_freight"], ratio(c("freight"), c("n_freight"))),
         Measure("freight_share", ["freight", "revenue"], ratio(c("freight"), c("revenue"))),
         Measure(
             "on_time_delivery_rate",
@@ -110,8 +112,8 @@ def payment_measures() -> list[Measure]:
         Measure("total_transaction_value", ["paid"], c("paid")),
         Measure(
             "avg_credit_card_installments",
-            ["card_installments", "card_rows"],
-            ratio(c("card_installments"), c("card_rows")),
+            ["card_installments", "n_installments"],
+            ratio(c("card_installments"), c("n_installments")),
         ),
         Measure("credit_card_share", ["card_paid", "paid"], ratio(c("card_paid"), c("paid"))),
     ]

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sparkmart.plans.spec import EntitySpec
 
@@ -35,73 +34,22 @@ def flatten_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def read_quoted(spark: SparkSession, path: str, spec: EntitySpec, whole_limit: int = 256 << 20) -> DataFrame:
+def read_quoted(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
     """Comma-separated records whose quoted fields may hold commas, pipes and line breaks.
 
-    Files up to ``whole_limit`` bytes are read by one task each; if there is a larger one, all
-    are read in splits, so no task has to go through a huge file alone.
+    A quote opens a field only where the field starts; elsewhere it is text. Records end at a line feed outside quotes, and the
+    carriage return before it goes with the blanks around a field; inside quotes both stay and become one blank each. Whether a
+    line break ends a record depends on everything before it, so one file is one task, whatever its size: deliver a large entity
+    as many files.
     """
-    listing = spark.read.format("binaryFile").load(path)
-    largest = listing.agg(F.max("length").alias("bytes")).first()["bytes"] or 0
-    return (read_quoted_split if largest > whole_limit else read_quoted_whole)(spark, path, spec)
-
-
-def read_quoted_whole(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    """Quoted files, each read from end to end by one task."""
     rows = (
         spark.read.schema(text_schema(spec.columns))
         .option("header", True)
         .option("multiLine", True)
+        .option("lineSep", "\n")
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .csv(path)
     )
     return flatten_fields(rows)
-
-
-def read_quoted_split(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
-    """Quoted files of any size, cut into splits like plain text.
-
-    A line break ends a record only when the quotes up to it pair off. Quotes are counted per
-    line, summed inside each split, and carried from split to split through one small row per
-    split; lines of one record are then joined and parsed. A record is the largest thing a
-    task has to hold.
-    """
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-        F.col("value"),
-    )
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    counted = lines.withColumn("quotes", quotes)
-    per_split = counted.groupBy("file", "split").agg(F.sum("quotes").alias("quotes"))
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_split.select("file", "split", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("carried"))
-
-    in_split = Window.partitionBy("file", "split").orderBy("line")
-    before_line = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    open_before = (
-        F.coalesce(F.sum("quotes").over(before_line), F.lit(0)) + F.col("carried")
-    ) % 2
-    placed = counted.join(carried, ["file", "split"]).withColumn("starts", (open_before == 0).cast("int"))
-
-    # number records: starts inside the split plus starts in all earlier splits of the file
-    starts = placed.groupBy("file", "split").agg(F.sum("starts").alias("starts"))
-    offsets = starts.select("file", "split", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("offset"))
-    running = F.sum("starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0))
-    numbered = placed.withColumn("running", running).join(offsets, ["file", "split"]).select(
-        "file", (F.col("running") + F.col("offset")).alias("record"), "split", "line", "value"
-    )
-    records = numbered.groupBy("file", "record").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("split", "line", "value"))), lambda p: p["value"]), "\n"
-        ).alias("text")
-    )
-    body = records.where((F.col("record") > 1) & (F.trim("text") != ""))
-    parsed = body.select(
-        F.from_csv(F.rtrim("text", F.lit("\r")), F.lit(text_schema(spec.columns)),
-                   {"quote": '"', "escape": '"', "sep": ","}).alias("r")
-    )
-    return flatten_fields(parsed.select("r.*"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,22 +11,28 @@ class EmptyLoad(ValueError):
     """A source delivered no rows."""
 
 
-def stamp_batch(df: DataFrame, batch_id: str, file_name: str) -> DataFrame:
-    """Rows with their batch, load time, file and a running row id."""
+def stamp_batch(df: DataFrame, batch_id: str, file_name: str | None = None) -> DataFrame:
+    """Rows with their batch, load time, file and a running row id; without a name each row names the file it was read from."""
+    name = F.lit(file_name) if file_name is not None else F.element_at(F.split(F.input_file_name(), "/"), -1)
     return df.select(
         F.monotonically_increasing_id().alias("row_id"),
         *df.columns,
         F.current_timestamp().alias("load_ts"),
-        F.lit(file_name).alias("file_name"),
+        name.alias("file_name"),
         F.lit(batch_id).alias("batch_id"),
     )
 
 
-def append_raw(df: DataFrame, path: str, batch_id: str, file_name: str) -> None:
-    """Append one batch as its own partition; a source without rows is an error."""
-    if df.isEmpty():
-        raise EmptyLoad(f"{file_name}: 0 rows — verify path, delimiter and encoding")
+def append_raw(df: DataFrame, path: str, batch_id: str, file_name: str | None = None) -> int:
+    """Append one batch as its own partition and return its rows; a source without rows is an error, found after the write."""
     stamp_batch(df, batch_id, file_name).write.mode("append").partitionBy("batch_id").parquet(path)
+    try:
+        rows = read_batch(df.sparkSession, path, batch_id).count()
+    except AnalysisException:  # nothing was ever written here, so there is no schema to read
+        rows = 0
+    if not rows:
+        raise EmptyLoad(f"no rows in {file_name or 'the source'}: is it the right path, separator and encoding?")
+    return rows
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
@@ -33,8 +40,13 @@ def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("batch_id") == batch_id)
 
 
-def latest_batch(raw: DataFrame) -> DataFrame:
-    """Rows of the batch loaded last, found by a one-row aggregate."""
+def latest_batch(raw: DataFrame, load_log: DataFrame | None = None) -> DataFrame:
+    """Rows of the batch loaded last. With the loads of this table from the ledger, which names the batch, only its partition is
+    read; without, every batch's stamps are."""
+    if load_log is not None:
+        done = load_log.where(F.col("status") == "SUCCESS")
+        found = done.agg(F.max_by("batch_id", F.struct("load_ts", "batch_id")).alias("b")).first()["b"]
+        return raw.where(F.col("batch_id").eqNullSafe(F.lit(found).cast("string")) & F.lit(found is not None))
     newest = raw.agg(F.max_by("batch_id", F.struct("load_ts", "batch_id")).alias("b"))
     return raw.where(F.col("batch_id") == newest.scalar())
 
@@ -55,3 +67,8 @@ def source_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
         F.col("modificationTime").alias("modified_ts"),
     )
 
+
+
+def file_times(spark: SparkSession, path: str) -> DataFrame:
+    """Path and modification time of a file, or of the files in a folder, without reading them."""
+    return spark.read.format("binaryFile").load(path).select("path", F.col("modificationTime").alias("modified_ts"))

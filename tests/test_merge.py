@@ -92,7 +92,18 @@ def skewed(spark):
 
 
 def test_hot_values_finds_the_heavy_key(spark):
-    assert hot_values(skewed(spark), ["k"])["k"] == ["hot"]
+    assert hot_values(skewed(spark), ["k"])["k"] == {"hot": 5}  # a third of the rows over eight partitions
+
+
+def test_a_small_share_is_hot_among_many_partitions(spark):
+    # 0.2 % of the rows is four times the fair share of one among 2,000 partitions
+    rows = spark.range(200_000).select("id", F.when(F.col("id") % 500 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    assert hot_values(rows, ["k"], 2_000)["k"] == {"hot": 8}
+    assert hot_values(rows, ["k"], 100)["k"] == {}
+
+
+def test_slices_follow_the_partitions():
+    assert [merge.slice_digits(n) for n in (1, 8, 200, 2_000, 100_000)] == [1, 2, 3, 4, 5]
 
 
 def test_salted_join_equals_plain_join(spark, rows):
@@ -101,7 +112,7 @@ def test_salted_join_equals_plain_join(spark, rows):
         spark.createDataFrame([("hot", -5)], "k string, s long"))
     for how in ("left", "inner"):
         want = rows(left.join(right, "k", how), "id", "k", "s")
-        for hot in ([], ["hot"], ["hot", "2", "missing"]):
+        for hot in ([], ["hot"], ["hot", "2", "missing"], {"hot": 3, "5": 2, None: 4, "7": 1}):
             assert rows(salted_join(left, right, "k", how, hot, ["id"]), "id", "k", "s") == want
 
 

@@ -180,9 +180,9 @@ def test_orphans_count_null_keys(spark):
 
 def test_repeated_values_are_written_out(spark):
     df = spark.createDataFrame(
-        [("o", "x"), ("o", "y"), ("o", "x"), ("o", None), ("p", "x"), ("p", "x")], "order_id string, payment_type string")
+        [("o", "x"), ("o", "y"), ("o", "x"), ("o", None), ("p", "x"), ("p", "x"), (None, "x"), (None, "y")], "order_id string, payment_type string")
     got = stats.repeated_values(df, "order_id", "payment_type").collect()
-    assert [tuple(r) for r in got] == [("o", 2, "x, x, y", 4)]
+    assert [tuple(r) for r in got] == [("o", 2, "x x2, y x1", 4)]
 
 
 def test_max_length_rule(spark):

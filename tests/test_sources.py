@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.plans import entities, ledger, spec
-from sparkmart.sources import delimited, raw, scan, tables
+from sparkmart.sources import delimited, raw, tables
 
 NOTES = spec.EntitySpec(
     name="notes", separator=",", fields=(spec.trimmed("id"), spec.trimmed("note"), spec.trimmed("tag")),
@@ -43,31 +43,31 @@ def test_quoted_fields_are_flattened(spark, tmp_path, rows):
     want = sorted(write_notes(tmp_path / "notes.csv", 200), key=repr)
     path = str(tmp_path / "notes.csv")
     assert rows(delimited.read_quoted(spark, path, NOTES)) == want
-    assert rows(delimited.read_quoted(spark, path, NOTES, whole_limit=100)) == want
 
 
-def test_large_quoted_files_are_split(spark, tmp_path):
-    write_notes(tmp_path / "notes.csv", 50)
-    path = str(tmp_path / "notes.csv")
-
-    def plan(limit):
-        frame = delimited.read_quoted(spark, path, NOTES, limit)
-        return frame._jdf.queryExecution().executedPlan().toString()
-
-    assert "Scan csv" in plan(1 << 20) and "Scan text" in plan(100)
+QUOTED = {
+    "quotes inside plain fields": (b'1,5" screen,x\n2,plain,y\n3,7" tab,z\n4,last,w\n', [("1", '5" screen', "x"), ("2", "plain", "y"), ("3", '7" tab', "z"), ("4", "last", "w")]),
+    "one stray quote": (b'1,5" screen,x\n2,plain,y\n3,tab,z\n4,last,w\n', [("1", '5" screen', "x"), ("2", "plain", "y"), ("3", "tab", "z"), ("4", "last", "w")]),
+    "two blanks for a line break of two signs": (b'1,"a\r\nb",x\r\n2,"q","z"\r\n3,p,"e""e"\r\n', [("1", "a  b", "x"), ("2", "q", "z"), ("3", "p", 'e"e')]),
+    "quoted and unquoted fields": (b'1,"x,y|z",\n2,ab"cd"ef,"k"\n3,"open "" q",""\n', [("1", "x,y z", None), ("2", 'ab"cd"ef', "k"), ("3", 'open " q', None)]),
+}
 
 
-@pytest.mark.parametrize("split", ["64", "500", "100000"])
-def test_split_reader_agrees_for_any_split_size(spark, tmp_path, rows, split):
-    want = write_notes(tmp_path / "a.csv", 150, 1) + write_notes(tmp_path / "b.csv", 90, 2)
+@pytest.mark.parametrize("case", QUOTED)
+@pytest.mark.parametrize("split", ["64", "100000"])
+@pytest.mark.parametrize("head", [b"id,note,tag\n", b"\nid,note,tag\n"])
+def test_quoted_files_of_every_shape(spark, tmp_path, rows, case, split, head):
+    text, want = QUOTED[case]
+    for copy in ("a.csv", "b.csv"):
+        (tmp_path / copy).write_bytes(head + text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        got = rows(delimited.read_quoted_split(spark, str(tmp_path / "*.csv"), NOTES))
+        got = rows(delimited.read_quoted(spark, str(tmp_path), NOTES))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert got == sorted(want, key=repr)
+    assert got == sorted(want * 2, key=repr)
 
 
 def test_empty_source_is_an_error(spark, tmp_path):
@@ -135,12 +135,6 @@ def test_staged_copy_lives_in_the_named_folder_and_goes_away(spark, tmp_path):
     assert copies() == before
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert scan.spread(wide) is wide
-    assert scan.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-
-
 def test_ledger_rejects_unknown_columns(spark):
     with pytest.raises(ValueError):
         ledger.row(spark, "job_log", nonsense=1)

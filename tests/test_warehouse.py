@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import os
 
 import pytest
 
@@ -161,3 +162,41 @@ def test_dimensions_survive_a_second_load(house):
     assert after[h("c3")]["customer_key"] == max(before.values()) + 1
     assert after[h("c2")]["is_deleted"] and not after["UNKNOWN"]["is_deleted"]
     assert after[h("c1")]["customer_city"] == "CAMPINAS"
+
+
+def test_unchanged_files_are_skipped(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path / "root"))
+    monkeypatch.setattr(Warehouse, "load_mart", lambda self, job=None, **options: None)
+    data = {"sellers": base()["sellers"], "product_category_name_translation": base()["product_category_name_translation"]}
+    files = write(tmp_path / "d", data)
+    w.run_full(files)
+    job = w.run_full(files)
+    mine = {(r["pipeline"], r["status"]) for r in w.log("load_log").where(f"job_run_id = '{job}'").collect()}
+    assert mine == {("raw.sellers", "SKIPPED"), ("raw.product_category_name_translation", "SKIPPED")}
+    assert w.changed({"sellers": files["sellers"]}) == {}
+    os.utime(files["sellers"], (4e9, 4e9))
+    assert list(w.changed(files)) == ["sellers"]
+
+
+def test_rows_name_their_file_and_messages_stay_whole(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "root"))
+    for part in ("a", "b"):
+        write(tmp_path / part, {"sellers": base()["sellers"]})
+    (tmp_path / "b" / "sellers.csv").rename(tmp_path / "a" / "more.csv")
+    batch = w.load_raw(ENTITIES["sellers"], str(tmp_path / "a"))
+    rows = spark.read.parquet(str(tmp_path / "root" / "raw" / "sellers")).where(f"batch_id = '{batch}'")
+    assert {r["file_name"] for r in rows.collect()} == {"sellers.csv", "more.csv"}
+
+    def fail():
+        raise ValueError("x" * 10_000)
+
+    with pytest.raises(ValueError):
+        w._run("RAW", "sellers", None, fail)
+    assert w.log("error_log").first()["error_message"] == "x" * 10_000
+
+
+def test_missing_sources_of_the_mart_are_logged(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "root"))
+    with pytest.raises(NoSourceBatch):
+        w.load_mart("job")
+    assert w.log("error_log").where("pipeline = 'mart.sources'").count() == 1
