@@ -12,6 +12,21 @@ from pyspark.sql.window import Window
 
 from sparkmart.functions import text
 
+# The findings' texts, as readers of the quality log know them.
+ISSUES = {
+    "null": "NULL value",
+    "empty": "Empty string after cleansing",
+    "code": "Invalid length or format: expected {expected}",
+    "digits": "Invalid numeric format",
+    "parse": "Invalid {kind} format",
+    "value": "Invalid value: not a recognized {what}",
+    "range": "Invalid range: must be {must_be}",
+    "length": "Too long: more than {limit} characters",
+    "copy": "Duplicate {subject}: identical content, deduplicated silently",
+    "conflict": "Duplicate {subject}: conflicting content — investigate before reload",
+    "surplus_zip": "Duplicate zip_code_prefix: kept smallest (lat, lng) occurrence",
+}
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -33,18 +48,18 @@ def given(column: str) -> Column:
 
 
 def not_null(column: str, parsed: bool = False) -> Rule:
-    return Rule(column, "NULL value", ~given(column) if parsed else F.col(column).isNull())
+    return Rule(column, ISSUES["null"], ~given(column) if parsed else F.col(column).isNull())
 
 
 def not_empty(column: str) -> Rule:
-    return Rule(column, "Empty string after cleansing", text.is_blank(F.col(column)))
+    return Rule(column, ISSUES["empty"], text.is_blank(F.col(column)))
 
 
 def coded(column: str, char_class: str, length: int, expected: str) -> Rule:
     c = F.col(column)
     return Rule(
         column,
-        f"Invalid length or format: expected {expected}",
+        ISSUES["code"].format(expected=expected),
         ~text.is_blank(c) & ~text.is_code(c, char_class, length),
     )
 
@@ -63,30 +78,30 @@ def state_code(column: str) -> Rule:
 
 def digits_only(column: str) -> Rule:
     c = F.col(column)
-    return Rule(column, "Invalid numeric format", ~text.is_blank(c) & text.contains_other_than(c, "0-9"))
+    return Rule(column, ISSUES["digits"], ~text.is_blank(c) & text.contains_other_than(c, "0-9"))
 
 
 def parses(column: str, kind: str, rejects: bool = True, parsed: str | None = None) -> Rule:
-    return Rule(column, f"Invalid {kind} format", given(column) & F.col(parsed or column).isNull(), rejects)
+    return Rule(column, ISSUES["parse"].format(kind=kind), given(column) & F.col(parsed or column).isNull(), rejects)
 
 
 def one_of(column: str, values: Sequence[str], what: str) -> Rule:
     c = F.col(column)
     return Rule(
         column,
-        f"Invalid value: not a recognized {what}",
+        ISSUES["value"].format(what=what),
         ~text.is_blank(c) & ~c.isin(list(values)),
         rejects=False,
     )
 
 
 def out_of_range(column: str, must_be: str, fails: Column) -> Rule:
-    return Rule(column, f"Invalid range: must be {must_be}", fails, rejects=False)
+    return Rule(column, ISSUES["range"].format(must_be=must_be), fails, rejects=False)
 
 
 def max_length(column: str, limit: int) -> Rule:
     """Optional rule for values wider than the target column."""
-    return Rule(column, f"Too long: more than {limit} characters", text.text_length(F.col(column)) > limit)
+    return Rule(column, ISSUES["length"].format(limit=limit), text.text_length(F.col(column)) > limit)
 
 
 def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -212,13 +227,10 @@ def duplicate_issues(classes: DataFrame, key_label: str, subject: str) -> DataFr
     lines = [
         F.struct(
             F.lit(key_label).alias("column_name"),
-            F.lit(f"Duplicate {subject}: {ending}").alias("issue"),
+            F.lit(ISSUES[issue].format(subject=subject)).alias("issue"),
             F.col(name).alias("affected_row_count"),
         )
-        for name, ending in (
-            ("a", "identical content, deduplicated silently"),
-            ("b", "conflicting content — investigate before reload"),
-        )
+        for name, issue in (("a", "copy"), ("b", "conflict"))
     ]
     return totals.select(F.inline(F.array(*lines))).where("affected_row_count > 0")
 

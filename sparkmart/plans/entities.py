@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import text
 from sparkmart.operators.quality import (
+    ISSUES,
     digits_only, hex_id, is_digits, is_filled, is_hex_id, is_present, is_state_code, is_zip_code, not_empty,
     not_null, one_of, out_of_range, parses, state_code, zip_code,
 )
@@ -315,7 +316,7 @@ def geolocation(strict_order: bool = False) -> s.EntitySpec:
         admits=lambda: [is_zip_code("geolocation_zip_code_prefix"), is_present("geolocation_lat"),
                         is_present("geolocation_lng"), is_filled("geolocation_city"),
                         is_state_code("geolocation_state")],
-        surplus_issue="Duplicate zip_code_prefix: kept smallest (lat, lng) occurrence",
+        surplus_issue=ISSUES["surplus_zip"],
     )
 
 

@@ -39,6 +39,25 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None
     return spark.read.parquet(version_path(root, table, version)).drop("_action") if version else None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_old_versions(spark: SparkSession, root: str, table: str, keep: int = 1) -> list[str]:
+    """Delete published versions but the current one and the keep before it; returns the deleted names.
+
+    Only versions that a SUCCESS row names are touched, so one that is being written stays. Readers of a version that is deleted
+    will fail, so keep as many as there are loads during the longest read.
+    """
+    log = ledger.read(spark, root, "load_log").where((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
+    named = log.where(F.col("version").isNotNull()).orderBy(F.desc("load_ts"), F.desc("version")).select("version").collect()
+    old = [r["version"] for r in named][keep + 1 :]  # one row a load
+    for version in old:
+        _delete(spark, version_path(root, table, version))
+    return old
+
+
 def staging_folder(spark: SparkSession, fallback: str) -> str:
     """The shared folder the cluster names for intermediate tables; the fallback where it names none."""
     return (spark.conf.get("spark.checkpoint.dir", None) or fallback).rstrip("/")
@@ -57,6 +76,4 @@ def materialised(df: DataFrame, fallback: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.parquet(path)
     finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        target = hadoop.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)

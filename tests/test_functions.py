@@ -1,10 +1,12 @@
 import datetime as dt
 import hashlib
+import json
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from sparkmart.functions import dates, hashing, numbers, parse, text
+from sparkmart.plans import lookups
 
 
 def one(spark, value, make, kind="string"):
@@ -135,3 +137,15 @@ def test_number_text(spark):
     assert show(1500.0, lambda c: numbers.compact_text(c)) == "1.5K"
     assert show(0.1234, numbers.percent_text) == "12.3%"
     assert show(-2.25, lambda c: numbers.fixed(c, 1)) == "-2.3"
+
+
+def test_label_tables_are_those_checked_by_hand():
+    """The labels were compared with their source once; a digest of each table keeps them as they were then."""
+    digest = lambda table: hashlib.sha256(json.dumps(table, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+    assert (len(lookups.CATEGORY_LABELS), len(lookups.STATE_NAMES)) == (75, 27)
+    assert digest(lookups.CATEGORY_LABELS) == "52484146e9d51081d6d8807fc53b1f9f7b44aa93bf112233c6830231be4f974c"
+    assert digest(lookups.STATE_NAMES) == "3c6842dfce1604bfc4b1643296d0a3a54862c538b36215d840d09cb7aaea1a50"
+    assert lookups.CATEGORY_LABELS["arts_and_craftmanship"] == "Arts & Craftsmanship" and lookups.STATE_NAMES["AP"] == "Amapá"
+    assert lookups.PAYMENT_TYPE_ROWS == (
+        (-1, "UNKNOWN", None), (1, "Credit Card", "credit_card"), (2, "Boleto", "boleto"), (3, "Voucher", "voucher"),
+        (4, "Debit Card", "debit_card"), (5, "Not Defined", "not_defined"))

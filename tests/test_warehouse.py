@@ -7,6 +7,7 @@ import pytest
 from sparkmart.plans import ledger
 from sparkmart.plans.entities import ENTITIES
 from sparkmart.plans.load import ConflictingDuplicates, NoSourceBatch, Warehouse
+from sparkmart.sources import tables
 
 
 def h(text):
@@ -200,3 +201,15 @@ def test_missing_sources_of_the_mart_are_logged(spark, tmp_path):
     with pytest.raises(NoSourceBatch):
         w.load_mart("job")
     assert w.log("error_log").where("pipeline = 'mart.sources'").count() == 1
+
+
+def test_old_versions_are_removed_on_request(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "root"))
+    e = ENTITIES["sellers"]
+    for day in range(3):
+        w.load_raw(e, write(tmp_path / f"d{day}", {"sellers": base()["sellers"]})["sellers"])
+        w.load_cleansed(e)
+    gone = tables.remove_old_versions(spark, w.root, "cleansed/sellers", keep=1)
+    assert len(gone) == 1 and w.cleansed("sellers").count() == 1
+    left = [p.name for p in (tmp_path / "root" / "cleansed" / "sellers").iterdir()]
+    assert len(left) == 2 and f"version={gone[0]}" not in left
