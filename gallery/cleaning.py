@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gallery.base import Tables, example
-from gallery.oracle import _SPECS, findings_sql, norm, strip, with_ctes
+from gallery.oracle import _SPECS, findings_sql, key_counts, norm, strip, with_ctes
 from gallery.standins import RAW
 from sparkmart.functions import hashing, text
 from sparkmart.operators import merge, quality
@@ -98,22 +98,18 @@ def line_duplicates(t: Tables):
     return quality.duplicate_classes(_lines(t), _LINE_KEYS, order)
 
 
-_PLACED = (
-    "SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS LAST, "
-    "customer_id NULLS FIRST, row_hash) AS rn FROM"
-)
-_TWIN = (
-    f"EXISTS (SELECT 1 FROM ({_PLACED} clean_orders) f WHERE f.rn = 1 AND f.order_id = t.order_id "
-    "AND f.row_hash = t.row_hash)"
+_TWICE = (
+    "(SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS LAST, customer_id NULLS FIRST, row_hash) "
+    "AS rn FROM (SELECT * FROM clean_orders UNION ALL SELECT * FROM clean_orders))"
 )
 
 
 @example("D-02, D-03", with_ctes(f"""
-SELECT 'order_id' AS column_name, 'Duplicate order_id: ' || ending AS issue, count(*) AS affected_row_count FROM (
-    SELECT CASE WHEN {_TWIN} THEN 'identical content, deduplicated silently'
-                ELSE 'conflicting content — investigate before reload' END AS ending
-    FROM ({_PLACED} (SELECT * FROM clean_orders UNION ALL SELECT * FROM clean_orders)) AS t WHERE rn > 1)
-GROUP BY ALL"""))
+SELECT 'order_id' AS column_name, 'Duplicate order_id: ' || ending AS issue, affected_row_count FROM (
+    SELECT unnest(['identical content, deduplicated silently', 'conflicting content — investigate before reload']) AS ending,
+           unnest([CAST(sum(n_kept - 1) AS BIGINT), CAST(sum(n_rows - n_kept) AS BIGINT)]) AS affected_row_count
+    FROM {key_counts(_TWICE, ['order_id'])})
+WHERE affected_row_count > 0"""))
 def reload_duplicates(t: Tables):
     """The whole batch delivered twice: exact copies everywhere, conflicts only under bad keys."""
     clean = t.clean("orders")

@@ -291,11 +291,7 @@ def findings_sql(entity: str) -> str:
         )
         return with_ctes(" UNION ALL ".join(branches))
     subject = label if len(keys) == 1 else f"({label})"
-    # rows per key, and per key and content; the kept row's content is that of rank 1
-    counted = (
-        f"(SELECT {label}, sum(n) AS n_rows, max(n) FILTER (WHERE first = 1) AS n_kept FROM (SELECT {label}, row_hash, count(*) AS n, "
-        f"min(rn) AS first FROM ranked_{entity} GROUP BY ALL) GROUP BY {label} HAVING sum(n) > 1)"
-    )
+    counted = key_counts(f"ranked_{entity}", keys)
     for amount, ending in (
         ("n_kept - 1", "identical content, deduplicated silently"),
         ("n_rows - n_kept", "conflicting content — investigate before reload"),
@@ -306,6 +302,15 @@ def findings_sql(entity: str) -> str:
     return with_ctes(" UNION ALL ".join(branches))
 
 
+def key_counts(ranked: str, keys: list[str]) -> str:
+    """Keys that repeat: their rows, and how many have the content of the row of rank 1; a NULL key's rows match no other."""
+    label, missing = ", ".join(keys), " OR ".join(f"{k} IS NULL" for k in keys)
+    return (
+        f"(SELECT {label}, sum(n) AS n_rows, CASE WHEN {missing} THEN 1 ELSE max(n) FILTER (WHERE first = 1) END AS n_kept "
+        f"FROM (SELECT {label}, row_hash, count(*) AS n, min(rn) AS first FROM {ranked} GROUP BY ALL) GROUP BY {label} HAVING sum(n) > 1)"
+    )
+
+
 def _case(c: str, labels: dict[str, str]) -> str:
     arms = " ".join(f"WHEN '{k}' THEN {quoted([v])}" for k, v in labels.items())
     return f"CASE {c} {arms} ELSE {c} END"
