@@ -197,18 +197,19 @@ def coordinate_counts(geo: DataFrame) -> DataFrame:
 
 
 def coordinate_spread(geo: DataFrame) -> DataFrame:
-    """Zip codes with several rows: how many, and how far they lie apart."""
-    lat, lng = "geolocation_lat", "geolocation_lng"
-    by = "geolocation_zip_code_prefix"
-    edges = [
-        f(parse.to_double(F.col(c))).alias(f"{name}_{c.removeprefix('geolocation_')}")
-        for c in (lat, lng) for name, f in (("min", F.min), ("max", F.max))
-    ]
-    rows = geo.groupBy(by).agg(F.count("*").alias("cnt"), *edges).where("cnt > 1")
-    for c, name in ((lat, "distinct_lats"), (lng, "distinct_lngs")):
-        values = geo.where(F.col(c).isNotNull()).select(by, c).distinct().groupBy(by).agg(F.count("*").alias(name))
-        rows = rows.join(values, by, "left").fillna(0, [name])
-    return rows
+    """Zip codes with several rows: how many, and how far they lie apart.
+
+    One scan: each (zip, axis, value) is counted once, and a zip's line is made of its values.
+    """
+    by, axes = "geolocation_zip_code_prefix", ("lat", "lng")
+    pairs = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(f"geolocation_{a}").alias("value")) for a in axes])
+    spots = geo.groupBy(by, *[f"geolocation_{a}" for a in axes]).agg(F.count("*").alias("n"))
+    values = spots.select(by, "n", F.inline(pairs)).groupBy(by, "axis", "value").agg(F.sum("n").alias("n"))
+    number = parse.to_double(F.col("value"))
+    edges = [f(F.when(F.col("axis") == a, number)).alias(f"{name}_{a}") for a in axes for name, f in (("min", F.min), ("max", F.max))]
+    seen = [F.count_if((F.col("axis") == a) & F.col("value").isNotNull()).alias(f"distinct_{a}s") for a in axes]
+    rows = values.groupBy(by).agg(F.sum(F.when(F.col("axis") == axes[0], F.col("n"))).alias("cnt"), *edges, *seen)
+    return rows.where("cnt > 1")
 
 
 def key_range(df: DataFrame, column: str) -> DataFrame:
