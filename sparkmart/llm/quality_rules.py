@@ -148,8 +148,9 @@ def quality_rules(
         "n_failed_lines": F.col("_n_failed"),
         "lost_chars": F.col("_lost"),
     }
-    found = eight.select("_row.*", "clean_text", *[c.cast("long").alias(k) for k, c in counts.items()])
+    found = eight.select("_row", "clean_text", *[c.cast("long").alias(k) for k, c in counts.items()])
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct)
-    return found.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost_pct)
-    )
+    enough = F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost_pct
+    judged = F.struct("clean_text", *COUNTS, failed.alias("base_failed"), (~failed & enough).alias("kept"))
+    # Through a generator, as a caller's filter on a result would else be pushed below and make Spark compute each array anew.
+    return found.select("_row", F.inline(F.array(judged))).select("_row.*", *names)
