@@ -42,7 +42,7 @@ def _ranks(path: str) -> dict[bytes, int] | None:
 class _Pieces(dict):
     """Ids of pieces that follow a blank. Once LIMIT are kept, further ones are computed each time, which bounds a worker's memory."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __init__(self, one):
         self.one, self.missed = one, 0

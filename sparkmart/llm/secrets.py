@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.llm.words import slices
+
 # The base kinds in their order, with their patterns, and the shortest match that counts.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -159,7 +161,7 @@ def scan_secrets(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list] = [[] for _ in names]
             for text in batch.column(0).to_pylist():
                 spans = all_spans(text or "", model, threshold)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm.components import components
 from sparkmart.llm.store import written
-from sparkmart.llm.words import WORD, utf8
+from sparkmart.llm.words import WORD, slices, utf8
 
 RADIUS = 2
 SHINGLE = 3
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
