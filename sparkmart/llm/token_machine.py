@@ -83,7 +83,7 @@ class Merges:
                     across = rank.get((x, y))
                     if across is not None and across < until_x and across <= until_y:  # equal merges go left to right
                         found = False
-            if len(self.known) > 400_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             self.known[(a, b)] = found
         return found
@@ -100,7 +100,7 @@ START, LETTERS, DIGITS, OTHERS, BLANK, LONE, LATER = range(7)
 
 
 class Machine:
-    LIMIT = 250_000
+    LIMIT = 150_000
 
     def __init__(self, path: str):
         self.merges = Merges(path)
