@@ -34,8 +34,8 @@ from sparkmart.llm.words import utf8
 CHUNK = 2048
 #: Texts that are read side by side.
 LANES = 2500
-#: By how many states and bytes the table grows.
-ROWS, COLUMNS = 1 << 15, 32
+#: Room for the states that one count may add past the limit.
+ROOM = 1 << 17
 
 # After an apostrophe that starts a piece, these letters end it with the apostrophe.
 ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
@@ -110,10 +110,9 @@ class Machine:
     def reset(self) -> None:
         self.states: dict[tuple, int] = {}
         self.list: list[tuple] = []
-        self.column = np.zeros(256, np.int32)  # bytes that were met have columns of their own
-        self.columns = 1
         self.shared: dict[tuple, tuple] = {}  # parts of states that many have in common
-        self.moves = np.full((ROWS, COLUMNS), -1, np.int32)  # state after, and the change of the count in the low byte
+        # State after, and the change of the count in the low byte; 0 is not known yet. Rows take memory when first written.
+        self.moves = np.zeros((self.LIMIT + ROOM, 256), np.int32)
         self.start = self.number((START, _FRESH, 0, b"", b""))
         self.after = {b: self.number((BLANK, *self._feed(_FRESH, b)[:1], 1, b, b"")) for b in (b" ", b"\n", b"\t", b"\r")}
 
@@ -123,7 +122,7 @@ class Machine:
             found = self.states[state] = len(self.list)
             self.list.append(state)
             if found >= len(self.moves):
-                self.moves = np.concatenate((self.moves, np.full((ROWS, self.moves.shape[1]), -1, np.int32)))
+                self.moves = np.concatenate((self.moves, np.zeros((ROOM, 256), np.int32)))
         return found
 
     def _feed(self, open_: Open, raw: bytes) -> tuple[Open, int]:
@@ -195,15 +194,9 @@ class Machine:
         return self._char((mode, open_, last, kept, b""), raw)
 
     def _compile(self, state: int, byte: int) -> None:
-        column = self.column[byte]
-        if not column:
-            column = self.column[byte] = self.columns
-            self.columns += 1
-            if column >= self.moves.shape[1]:
-                self.moves = np.concatenate((self.moves, np.full((len(self.moves), COLUMNS), -1, np.int32)), axis=1)
         after, change = self._step(self.list[state], bytes([byte]))
         number = self.number(after)
-        self.moves[state, column] = number << 8 | change + 128
+        self.moves[state, byte] = number << 8 | change + 128  # a change is above -128, so this is never 0
 
     def run(self, data: np.ndarray, first: np.ndarray, end: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Read data[first:end] for each lane from its state: the states then, and the changes of the counts."""
@@ -213,14 +206,13 @@ class Machine:
         open_ = np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=0))), side="left")
         for step, n in enumerate(open_.tolist()):
             byte = data[at[:n] + step]
-            column = self.column[byte]
-            move = self.moves.ravel()[state[:n] * self.moves.shape[1] + column]
-            new = (move < 0) | (column == 0)
+            place = state[:n] << 8 | byte
+            move = self.moves.ravel()[place]
+            new = move == 0
             if new.any():
-                for s, b in {(int(s), int(b)) for s, b in zip(state[:n][new], byte[new])}:
-                    if not self.column[b] or self.moves[s, self.column[b]] < 0:
-                        self._compile(s, b)
-                move = self.moves.ravel()[state[:n] * self.moves.shape[1] + self.column[byte]]
+                for p in set(place[new].tolist()):
+                    self._compile(p >> 8, p & 255)
+                move = self.moves.ravel()[place]
             count[:n] += (move & 255) - 128
             state[:n] = move >> 8
         back = np.empty_like(order)
