@@ -8,7 +8,7 @@
    the windows that recur, compiles them to an automaton over word numbers, and streams its passages through it. Words are
    compared, not hashes. Grams are handled in batches, so an automaton's size is bounded.
 4. A gram in more than HOT documents doesn't go to one shard: its windows are counted by digest, which combines inside the tasks,
-   and joined back, where Spark can split a hot window as the other side has one row for it.
+   and joined back; a window that alone holds more than a task's fair share of these rows is spread over several tasks.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.store import written
-from sparkmart.llm.words import WORD, WordHashes, utf8
+from sparkmart.llm.words import WORD, WordHashes, slices, utf8
+from sparkmart.operators.skew import hot_values, salted_join
 
 WIDTH = 35
 GRAM = 10
@@ -78,7 +79,7 @@ def anchors(words: list[bytes], width: int = WIDTH, gram: int = GRAM) -> np.ndar
 
 def _sketch(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, digest, found = [], [], []
             for text in batch.column(3).to_pylist():
                 words = WORD.findall(utf8(text))
@@ -124,7 +125,7 @@ def _passages(width: int, gram: int, hot: bool, limit: int):
                         grams.append(least[a])
                         rids.append(rid)
                         starts.append(at)
-                        contents.append(hashlib.sha256(b" ".join(words[at : at + width])).digest())
+                        contents.append(hashlib.blake2b(b" ".join(words[at : at + width]), digest_size=16).hexdigest().encode())
             columns = [pa.array(grams, pa.int64()), pa.array(rids, pa.int64()), pa.array(starts, pa.int32()), pa.array(contents, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "rid", "start", "content"])
 
@@ -229,9 +230,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cold = rows.mapInArrow(_passages(width, gram, False, hot), shape)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = cold.repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(_shards(width, BATCH), "rid long, first int, until int")
-    warm = rows.mapInArrow(_passages(width, gram, True, hot), shape)
-    recurring = warm.groupBy("content").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content")
-    located = warm.join(recurring, "content").select("rid", F.col("start").alias("first"), (F.col("start") + width).cast("int").alias("until"))
+    warm = rows.mapInArrow(_passages(width, gram, True, hot), shape).select(F.col("content").cast("string").alias("window"), "rid", "start")
+    warm = written(warm, "windows")
+    recurring = warm.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+    located = salted_join(warm, recurring, "window", "inner", hot_values(warm, ["window"])["window"], ["rid", "start"])
+    located = located.select("rid", F.col("start").alias("first"), (F.col("start") + width).cast("int").alias("until"))
 
     single = suspects.where("copies = 1").select("rid", "k1", "k2", "text")
     found = runs.unionByName(located).groupBy("rid").agg(F.collect_list(F.struct("first", "until")).alias("runs"))
