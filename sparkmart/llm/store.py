@@ -13,8 +13,17 @@ _LOCAL: list[str] = []
 _SHIPPED: set[str] = set()
 
 
+#: Rows of an Arrow batch where the session has Spark's default of 10,000: long texts make batches of tens of megabytes, which
+#: the executor and its Python worker both hold, going in and coming out.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application; the driver serves the file."""
+    """Send this package to the Python workers, once per application; the driver serves the file. Also lowers the rows of an Arrow
+    batch to BATCH_ROWS in a session that leaves them at the default."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
