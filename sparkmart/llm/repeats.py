@@ -216,14 +216,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     long = sketch.where(F.col("n_words") >= width)
     classes = written(long.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("k1", "k2")).alias("k")), "classes")
-    first = long.join(classes.select("k.*", "copies"), ["k1", "k2"]).select("k1", "k2", "copies", "anchors")
+    # Equal rows share their key; one of them stands for all, here and for the text, or they would meet in the join as pairs.
+    single = long.groupBy("k1", "k2").agg(F.first("anchors").alias("anchors"))
+    first = single.join(classes.select("k.*", "copies"), ["k1", "k2"]).select("k1", "k2", "copies", "anchors")
     first = written(first.withColumn("rid", F.monotonically_increasing_id()), "representatives")
 
     each = first.select("rid", F.explode("anchors").alias("gram"))
     again = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = each.distinct().join(again, "gram").groupBy("rid").agg(F.collect_list(F.struct("gram", "n")).alias("grams"))
     held = first.select("rid", "k1", "k2", "copies").join(shared, "rid")
-    suspects = written(keyed.select("k1", "k2", "text").join(held, ["k1", "k2"]), "suspects")
+    texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    suspects = written(texts.join(held, ["k1", "k2"]), "suspects")
 
     rows = suspects.select("rid", "text", "grams")
     shape = "gram long, rid long, start int, content binary"
@@ -236,10 +239,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     located = salted_join(warm, recurring, "window", "inner", hot_values(warm, ["window"])["window"], ["rid", "start"])
     located = located.select("rid", F.col("start").alias("first"), (F.col("start") + width).cast("int").alias("until"))
 
-    single = suspects.where("copies = 1").select("rid", "k1", "k2", "text")
+    alone = suspects.where("copies = 1").select("rid", "k1", "k2", "text")
     found = runs.unionByName(located).groupBy("rid").agg(F.collect_list(F.struct("first", "until")).alias("runs"))
     shape = "k1 long, k2 long, n_removed long, kept_sha256 string, removed array<struct<first: int, until: int>>"
-    parts = single.join(found, "rid").select("k1", "k2", "text", "runs").mapInArrow(_removed, shape)
+    parts = alone.join(found, "rid").select("k1", "k2", "text", "runs").mapInArrow(_removed, shape)
 
     copied = classes.where("copies > 1").select("digest", F.lit(True).alias("copied"))
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("until")))

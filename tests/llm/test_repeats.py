@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from sparkmart.llm import repeats
 from sparkmart.llm.repeats import _slide, anchors, locate, repeated_passages
 
 SCHEMA = "doc_id long, text string, n_words string, digest string"
@@ -53,6 +54,22 @@ def test_repeated_rows_shared_ids_and_empty_table(spark):
     assert repeated_passages(spark.createDataFrame(rows, SCHEMA).limit(0)).count() == 0
 
 
+def test_equal_rows_are_one_suspect(spark, monkeypatch):
+    text, lone = " ".join(map(str, range(60))), " ".join(map(str, range(20, 90)))
+    rows = [(i, t, "x", "y") for i, t in [(1, text)] * 40 + [(None, text + " end")] * 30 + [(2, lone)]]
+    sizes = {}
+
+    def written(df, name, keep=repeats.written):
+        out = keep(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "written", written)
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect())
+    assert got == {(1, 60, 60): 40, (None, 61, 61): 30, (2, 70, 40): 1}
+    assert sizes["representatives"] == sizes["suspects"] == 3
+
+
 def test_automata_and_grams():
     rng = random.Random(1)
     passages = [[bytes([97 + rng.randrange(2)]) for _ in range(rng.randint(4, 40))] for _ in range(60)]
