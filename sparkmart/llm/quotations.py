@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: Turns of a conversation that are numbered in one go.
 SPAN = 1_000
-#: Words that a passage needs to be evidence of where it comes from.
-MIN_WORDS = 3
 _MARKS = r"^((?:[ \t]*>)*)[ \t]?"
 _ATTRIBUTION = r"^[ \t]*(?:On|Le|El|Am) .{1,200}(?:wrote|écrit|escribió|schrieb) ?:[ \t]*$"
 
@@ -27,9 +25,10 @@ def _normal(text: Column) -> Column:
 
 
 def _hashes(texts: Column) -> Column:
-    """Hashes of the normalised texts that have MIN_WORDS words, each once."""
-    normal = F.filter(F.transform(texts, _normal), lambda t: F.size(F.split(t, " ")) >= MIN_WORDS)
-    return F.array_distinct(F.transform(normal, lambda t: F.xxhash64(t)))
+    """(hash, weight) of the normalised texts that have any letter or digit, each once; the weight is their number."""
+    normal = F.filter(F.transform(texts, _normal), lambda t: t != "")
+    weight = lambda t: F.length(F.replace(t, F.lit(" "), F.lit(""))).cast("long")
+    return F.array_distinct(F.transform(normal, lambda t: F.struct(F.xxhash64(t).alias("hash"), weight(t).alias("weight"))))
 
 
 def _runs(lines: Column) -> Column:
@@ -50,7 +49,7 @@ def _runs(lines: Column) -> Column:
 
 
 def parse(messages: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds own_text, max_level, own_hashes and quotes (level, hash) to every row, as _own_text and so on.
+    """Adds own_text, max_level, own_hashes and quotes (level, hash, weight) to every row, as _own_text and so on.
 
     A line's level is the number of > before it. A line that announces a quote ("On ... wrote:") goes with it. Evidence are single
     lines and whole runs of lines of one level. Text without quotes stays as it is.
@@ -69,12 +68,12 @@ def parse(messages: DataFrame, text_col: str = "text") -> DataFrame:
     runs = lines.withColumn("_own", own).withColumn("_runs", F.when(F.col("_quoted"), _runs(F.col("_lines"))).otherwise(F.array(F.struct(F.lit(0).alias("level"), F.col("_own").alias("lines")))))
     evidence = lambda r: F.concat(r["lines"], F.array(F.concat_ws("\n", r["lines"])))
     quoted = F.filter("_runs", lambda r: r["level"] > 0)
-    each = F.flatten(F.transform(quoted, lambda r: F.transform(_hashes(evidence(r)), lambda h: F.struct(r["level"].alias("level"), h.alias("hash")))))
+    each = F.flatten(F.transform(quoted, lambda r: F.transform(_hashes(evidence(r)), lambda h: F.struct(r["level"].alias("level"), h["hash"].alias("hash"), h["weight"].alias("weight")))))
     return runs.select(
         *messages.columns,
         F.when(F.col("_quoted"), F.regexp_replace(F.concat_ws("\n", "_own"), r"^\s+|\s+$", "")).otherwise(text).alias("_own_text"),
         F.array_max(F.transform("_lines", lambda x: x["level"])).alias("_max_level"),
-        _hashes(F.flatten(F.transform(F.filter("_runs", lambda r: r["level"] == 0), evidence))).alias("_own_hashes"),
+        F.transform(_hashes(F.flatten(F.transform(F.filter("_runs", lambda r: r["level"] == 0), evidence))), lambda h: h["hash"]).alias("_own_hashes"),
         F.array_distinct(each).alias("_quotes"),
     )
 
@@ -100,7 +99,8 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     """The columns named in keep (all by default) of every row, with position, reply_to, clean_text, max_level, n_quoted, n_linked.
 
     reply_to is the turn that a message answers: of the earlier turns that first said what it quotes, the one with most evidence at
-    the least level, then the latest; without such a quote the turn before. position numbers a conversation's turns so that every
+    the least level, then the latest; without such a quote the turn before. Any passage with a letter or digit is evidence and
+    weighs as many as it has, so a long passage outweighs short ones. position numbers a conversation's turns so that every
     answer follows what it answers. clean_text is the text without quotes; n_quoted counts the quoted passages that are
     evidence, n_linked those that an earlier turn has said.
 
@@ -116,8 +116,8 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     said = known.select("conv", "turn", F.explode("_own_hashes").alias("hash")).groupBy("conv", "hash").agg(F.min("turn").alias("said_at"))
     quotes = known.where(F.size("_quotes") > 0).select("conv", "turn", F.explode("_quotes").alias("q")).select("conv", "turn", "q.*").distinct()
     found = quotes.join(said, ["conv", "hash"]).where("said_at < turn")
-    votes = found.groupBy("conv", "turn", "level", "said_at").agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("conv", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "votes", "said_at")).alias("best"), F.sum("votes").alias("n_linked"))
+    votes = found.groupBy("conv", "turn", "level", "said_at").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("conv", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "weight", "said_at")).alias("best"), F.sum("votes").alias("n_linked"))
     turns = known.select("conv", "turn").distinct()
     placed = _places(turns).join(best, ["conv", "turn"], "left").select("conv", "turn", "position", F.coalesce("best.said_at", "before").alias("reply_to"), "n_linked")
     return parsed.join(placed, ["conv", "turn"], "left").select(

@@ -34,6 +34,24 @@ def test_nested_quotes_are_linked_and_removed(spark):
     assert got[2, 7].clean_text == "no quotes here"
 
 
+def test_short_passages_are_evidence_and_long_ones_outweigh_them(spark):
+    got = _run(
+        spark,
+        [
+            (1, 0, "Sounds good"),
+            (1, 1, "我们明天中午在车站见面。"),
+            (1, 2, "Which trains would take all of us there in time?"),
+            (1, 3, "ok\nyes\nno"),
+            (1, 4, "> Sounds good!\nWhat does?"),
+            (1, 5, "> 我们明天中午在车站见面\n好"),
+            (1, 6, "> ok\nfirst\n> yes\nsecond\n> Which trains would take all of us there in time?\nThe early one."),
+            (1, 7, "> ...\n> ???\nmarks only"),
+        ],
+    )
+    row = lambda t: (got[1, t].reply_to, got[1, t].n_quoted, got[1, t].n_linked)
+    assert [row(t) for t in (4, 5, 6, 7)] == [(0, 1, 1), (1, 1, 1), (2, 3, 3), (6, 0, 0)]
+
+
 def test_places_in_long_conversations_with_gaps(spark):
     turns = [*range(0, 3000, 7), 10_000, 10_001, 999_999, -5]
     got = _run(spark, [(1, t, f"message number {t}") for t in turns] + [(1, 7, "message number 7")])
