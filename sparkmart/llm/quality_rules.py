@@ -18,10 +18,8 @@ from pyspark.sql import functions as F
 BLANK_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Characters of a line that a boilerplate phrase can condemn; longer lines are prose that happens to hold one.
-SHORT_LINE = 100
 
-# Phrases that make a short line boilerplate, in lower case.
+# Phrases that make a line boilerplate if most of its words belong to them, in lower case.
 BOILERPLATE = (
     "accept cookies",
     "all rights reserved",
@@ -83,17 +81,27 @@ def _solid(line: Column) -> Column:
     return F.length(_without(line, BLANK_CHARS))
 
 
-def _has_phrase(line: Column) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(F.lower(line), F.lit(p)) for p in BOILERPLATE])
+def _mostly_phrases(line: Column) -> Column:
+    """True if over half of the line's words, as runs of letters and digits, lie in phrases."""
+    phrases = "|".join(sorted(BOILERPLATE, key=len, reverse=True))
+
+    def judged(low: Column) -> Column:
+        normal = F.regexp_replace(low, r"[^\p{L}\p{M}\p{N}]+", " ")
+        rest = _let(normal, lambda t: F.size(words_of(t)) - 2 * F.size(words_of(F.regexp_replace(t, f"(?<![^ ])(?:{phrases})(?![^ ])", " "))))
+        # A phrase cannot be there without its words, which most lines lack.
+        words = [reduce(lambda a, b: a & b, [F.contains(low, F.lit(w)) for w in sorted(p.split(" "), key=len, reverse=True)]) for p in BOILERPLATE]
+        return F.when(reduce(lambda a, b: a | b, words), rest > 0).otherwise(F.lit(False))
+
+    return _let(F.lower(line), judged)
 
 
 def line_fails(line: Column) -> Column:
-    """True for a line of symbols, a navigation bar or a boilerplate phrase; blank lines pass."""
+    """True for a line of symbols, a navigation bar or one mostly of boilerplate phrases; blank lines pass."""
     n_words, bars = F.size(words_of(line)), F.length(line) - F.length(_without(line, SEPARATORS))
     punctuation = (F.length(line) - F.length(_without(line, NOISE))) * 10 > _solid(line) * 3
     navigation = (bars >= 3) & (n_words - bars <= 4 * (bars + 1))
     marks = F.when(line.rlike(_SUSPECT), punctuation | navigation).otherwise(F.lit(False))
-    return marks | F.when(F.length(line) <= SHORT_LINE, _has_phrase(line)).otherwise(F.lit(False))
+    return marks | _mostly_phrases(line)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_failed_lines", "lost_chars")

@@ -47,6 +47,16 @@ def test_line_rules_and_loss(spark):
     assert got[4].clean_text == PROSE and got[4].lost_chars == 16
 
 
+def test_phrases_condemn_lines_that_are_mostly_phrases(spark):
+    prose = ["the catalog includes forty plates", "We design upholstery", "she could not read more of the letter", "We log into it", "Terms of usefulness"]
+    footers = ["All rights reserved.", "Log  in / Sign-up", "Privacy Policy, Terms of Use, Cookie Policy, Contact", " ".join(["Share this; read more!"] * 9)]
+    got = _run(spark, [PROSE + "\n" + line for line in prose + footers])
+    for i, line in enumerate(prose):
+        assert got[i].n_failed_lines == 0 and got[i].clean_text == PROSE + "\n" + line, line
+    for i, line in enumerate(footers, len(prose)):
+        assert got[i].n_failed_lines == 1 and got[i].clean_text == PROSE, line
+
+
 def test_null_empty_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, PROSE, "x", "y", "z"), (1, PROSE, "x", "y", "z"), (1, PROSE, "x", "y", "z"), (2, None, None, None, None)], SCHEMA)
     rows = quality_rules(df).collect()
