@@ -12,8 +12,8 @@ pre-tokenizer's pattern and of the merges together:
 
 States are made when first met, so the machine is as large as the language it has read; it is emptied when it passes LIMIT. A
 chunk's map, from the state it is entered in to the state it is left in and its count, is constant from the first byte on that is
-white space after an ASCII sign, because the state there is always the same. Chunks are run side by side from there on; a scan
-composes the maps, which runs the bytes before from the state that the chunk before is left in.
+white space after an ASCII sign, because the state there is always the same. Chunks are run side by side from there on; the
+bytes before run from the state that the chunk before is left in. A chunk without such a place waits for the chunk before it.
 """
 
 from __future__ import annotations
