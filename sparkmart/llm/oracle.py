@@ -153,3 +153,34 @@ FROM lines l JOIN place p ON p.conv_id = l.conv_id AND p.turn = l.turn JOIN deep
 LEFT JOIN best b ON b.conv_id = l.conv_id AND b.turn = l.turn LEFT JOIN quoted q ON q.conv_id = l.conv_id AND q.turn = l.turn
 LEFT JOIN own o ON o.conv_id = l.conv_id AND o.turn = l.turn
 """
+
+DIVERGENCE = r"""
+WITH texts AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS body, row_number() OVER () AS r FROM documents),
+occurring AS (SELECT DISTINCT lang, source FROM texts),
+words AS (
+  SELECT lang, source, r, unnest(regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+counted AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM words GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM counted GROUP BY lang, term HAVING sum(docs) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+used AS (SELECT c.lang, c.source, c.term, c.n FROM counted c JOIN kept k ON c.lang = k.lang AND c.term = k.term),
+totals AS (
+  SELECT o.lang, o.source, coalesce(l.v, 0) AS v, coalesce(sum(u.n), 0) AS total
+  FROM occurring o LEFT JOIN langs l ON o.lang = l.lang LEFT JOIN used u ON o.lang = u.lang AND o.source = u.source GROUP BY o.lang, o.source, l.v),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(u.n, 0) AS n,
+    1 + (1000000000 * (coalesce(u.n, 0) + 5)::HUGEINT) // (t.total + 5 * t.v) AS p,
+    1 + (1000000000 * (k.n + 5)::HUGEINT) // (l.total + 5 * l.v) AS q
+  FROM totals t JOIN kept k ON t.lang = k.lang JOIN langs l ON l.lang = t.lang
+  LEFT JOIN used u ON u.lang = t.lang AND u.source = t.source AND u.term = k.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM occurring a JOIN occurring b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import oracle
 from sparkmart.llm.decontaminate import decontaminate
+from sparkmart.llm.divergence import divergence
+from sparkmart.llm.language import held_out, identify
+from sparkmart.llm.language import train as learn_languages
 from sparkmart.llm.licenses import scan_licenses
 from sparkmart.llm.packing import pack_documents
 from sparkmart.llm.quality_rules import quality_rules
@@ -19,6 +22,7 @@ from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import ship, table
 from sparkmart.llm.token_machine import token_counts
 from sparkmart.llm.url_filter import filter_urls
+from sparkmart.llm.whitening import whiten
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Where the vocabulary file lies; it comes with an installed package on every machine."""
@@ -112,3 +116,20 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
+
+
+@_query()
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+@_query()
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    model = learn_languages(docs.where("NOT held_out"))
+    return identify(docs, model, keep=["doc_id", "held_out"])
+
+
+@_query(oracle.DIVERGENCE)
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence(table(spark, folder, "documents"))
