@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +35,13 @@ SMOOTH, SCALE = 5, 1_000_000_000
 #: Counted (term, source) entries in a bucket of the pair comparison, about.
 BUCKET = 200_000
 #: Terms that a task counts before it writes what it has.
-HELD = 400_000
+HELD = 600_000
+#: Kept terms, over all languages, up to which their digests are sent to the tasks to filter by; beyond, Spark joins them.
+SENT = 1_000_000
 _CELLS = 1 << 20
+#: A term's occurrences and documents are one number in a task, the latter counted from this bit on; counts are written
+#: before the task has read so much text that either could pass its half.
+_DOCUMENT, _READ = 1 << 32, 1 << 30
 _KEY = ["lang", "d", "s"]
 
 
@@ -45,45 +50,38 @@ def _counted(bits: int, held: int):
     mask = (1 << bits) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        size = 0
+        groups: dict[tuple[str, str], dict[bytes, int]] = {}
+        size = read = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal size
+            nonlocal size, read
             for (lang, source), terms in groups.items():
                 words = list(terms)
                 d = np.fromiter((xxhash.xxh64_intdigest(w) & mask for w in words), np.uint64, len(words)).view(np.int64)
-                counts = np.array(list(terms.values()), np.int64).reshape(-1, 2)
+                both = np.fromiter(terms.values(), np.int64, len(words))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(words), pa.string()),
                         pa.array([source] * len(words), pa.string()),
                         pa.array(d),
                         pa.array(words, pa.binary()).cast(pa.string()),
-                        pa.array(counts[:, 0]),
-                        pa.array(counts[:, 1]),
+                        pa.array(both & (_DOCUMENT - 1)),
+                        pa.array(both >> _DOCUMENT.bit_length() - 1),
                     ],
                     ["lang", "source", "d", "term", "count", "docs"],
                 )
             groups.clear()
-            size = 0
+            size = read = 0
 
         for batch in slices(batches, 200):
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own: dict[bytes, int] = defaultdict(int)
-                for word in TERM.findall(utf8(text).lower()):
-                    own[word] += 1
                 terms = groups.setdefault((lang, source), {})
                 size -= len(terms)
-                for word, n in own.items():
-                    if word in terms:
-                        both = terms[word]
-                        both[0] += n
-                        both[1] += 1
-                    else:
-                        terms[word] = [n, 1]
+                for word, n in Counter(TERM.findall(utf8(text).lower())).items():
+                    terms[word] = terms.get(word, 0) + n + _DOCUMENT
                 size += len(terms)
-                if size > held:
+                read += 1 + len(text or "")
+                if size > held or read > _READ:
                     yield from flush()
         yield from flush()
 
@@ -140,6 +138,7 @@ def divergence(
     bits: int = 64,
     bucket: int = BUCKET,
     held: int = HELD,
+    sent: int = SENT,
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): how far each source stands from each other one, and the terms it favours.
 
@@ -153,24 +152,27 @@ def divergence(
     down, for tests of collisions.
     """
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    groups = read.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
+    groups = read.select("lang", "source").distinct()
     local = written(read.mapInArrow(_counted(bits, held), "lang string, source string, d long, term string, count long, docs long"), "terms")
 
-    def added(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-        """Counts by source, and the terms of each language in enough documents."""
-        by_source = rows.groupBy(*key, "source").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
-        return by_source, by_source.groupBy(*key).agg(F.sum("docs").alias("docs"), F.sum("count").alias("total")).where(F.col("docs") >= min_docs)
+    def frequent(rows: DataFrame, key: list[str]) -> DataFrame:
+        """The terms of each language in enough documents, with how often they occur."""
+        return rows.groupBy(*key).agg(F.sum("docs").alias("docs"), F.sum("count").alias("total")).where(F.col("docs") >= min_docs)
 
-    by_digest, enough = added(local, ["lang", "d"])
-    enough = written(enough, "kept")
-    texts = written(local.join(enough, ["lang", "d"], "left_semi").groupBy("lang", "d").agg(F.min("term").alias("low"), F.max("term").alias("high")), "texts")
+    enough = written(frequent(local, ["lang", "d"]), "kept")
+    digests = enough.select("lang", "d")
+    used = local.join(F.broadcast(digests) if enough.count() <= sent else digests, ["lang", "d"], "left_semi")
+    by_digest = used.groupBy("lang", "d", "source").agg(F.sum("count").alias("count"))
+    texts = used.select("lang", "d", "term").distinct()  # by hash; least and greatest are then of few rows
+    texts = written(texts.groupBy("lang", "d").agg(F.min("term").alias("low"), F.max("term").alias("high")), "texts")
     shared = texts.where("low <> high").select("lang", "d")
     none = F.lit("").alias("s")
     counts = by_digest.join(enough.select("lang", "d", "total"), ["lang", "d"]).select(*_KEY[:2], none, "source", "count", "total")
     named = texts.select("lang", "d", none, F.col("low").alias("item"))
     if not shared.isEmpty():
-        own, several = added(local.join(shared, ["lang", "d"]).withColumnRenamed("term", "s"), _KEY)
-        split = own.join(several.select(*_KEY, "total"), _KEY).select(*_KEY, "source", "count", "total")
+        rows = used.join(shared, ["lang", "d"]).withColumnRenamed("term", "s")
+        several = frequent(rows, _KEY).select(*_KEY, "total")
+        split = rows.groupBy(*_KEY, "source").agg(F.sum("count").alias("count")).join(several, _KEY).select(*_KEY, "source", "count", "total")
         counts = counts.join(shared, ["lang", "d"], "left_anti").unionByName(split)
         named = named.join(shared, ["lang", "d"], "left_anti").unionByName(several.select(*_KEY, F.col("s").alias("item")))
     counts = written(counts, "counts")

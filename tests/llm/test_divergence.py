@@ -46,7 +46,7 @@ def _rows():
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"bits": 3, "bucket": 20, "held": 50}, {"bits": 6, "bucket": 7}])
+@pytest.mark.parametrize("options", [{}, {"bits": 3, "bucket": 20, "held": 50}, {"bits": 6, "bucket": 7, "sent": 0}])
 def test_against_brute_force(spark, options):
     rows = _rows()
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "text string, lang string, source string, rank int, ITEM string").repartition(6)
