@@ -35,7 +35,7 @@ SMOOTH, SCALE = 5, 1_000_000_000
 #: Counted (term, source) entries in a bucket of the pair comparison, about.
 BUCKET = 200_000
 #: Terms that a task counts before it writes what it has.
-HELD = 600_000
+HELD = 1_000_000
 #: Kept terms, over all languages, up to which their digests are sent to the tasks to filter by; beyond, Spark joins them.
 SENT = 1_000_000
 _CELLS = 1 << 20
@@ -163,8 +163,9 @@ def divergence(
     digests = enough.select("lang", "d")
     used = local.join(F.broadcast(digests) if enough.count() <= sent else digests, ["lang", "d"], "left_semi")
     by_digest = used.groupBy("lang", "d", "source").agg(F.sum("count").alias("count"))
-    texts = used.select("lang", "d", "term").distinct()  # by hash; least and greatest are then of few rows
-    texts = written(texts.groupBy("lang", "d").agg(F.min("term").alias("low"), F.max("term").alias("high")), "texts")
+    # Texts are made distinct by hash first; the count keeps Spark from sorting all rows for least and greatest at once.
+    texts = used.groupBy("lang", "d", "term").agg(F.sum("docs").alias("docs"))
+    texts = written(texts.groupBy("lang", "d").agg(F.min("term").alias("low"), F.max("term").alias("high"), F.sum("docs").alias("docs")), "texts")
     shared = texts.where("low <> high").select("lang", "d")
     none = F.lit("").alias("s")
     counts = by_digest.join(enough.select("lang", "d", "total"), ["lang", "d"]).select(*_KEY[:2], none, "source", "count", "total")
