@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.llm.fm_index import FMIndex
+from sparkmart.llm.store import unused
 from sparkmart.llm.words import ALNUM, slices, utf8
 
 WINDOW = 10
@@ -173,11 +174,11 @@ def decontaminate(
     and is asked for, else NULL.
 
     NULL and empty texts have no words and no hits. A NULL item id counts as an empty one; rows that share an id are one item.
-    An empty benchmark hits nothing. Columns of docs named like the results are replaced by them. Each document is judged within its
+    An empty benchmark hits nothing. Columns of docs named like the results, in any case, are replaced by them. Each document is judged within its
     task; shards and benchmark blocks are bounded, longer documents are indexed in overlapping pieces.
     """
     names = [n for n, _ in FOUND]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,5 +190,5 @@ def decontaminate(
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *found], [*kept, *names])
 
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t in FOUND])
-    return docs.select(F.col(text_col).alias("_text"), *kept).mapInArrow(run, schema)
+    return docs.select(F.col(text_col).alias(unused(docs, "text")), *kept).mapInArrow(run, schema)
 

@@ -117,7 +117,7 @@ def quality_rules(
     that loses over max_lost_pct percent of its word characters with its failed lines is rejected too.
     """
     names = ("clean_text", *COUNTS, "base_failed", "kept")
-    carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     row = F.struct(*[F.col(c) for c in carried]).alias("_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split("_text", "\n")
@@ -127,13 +127,15 @@ def quality_rules(
         "_text",
         words_of(F.col("_text")).alias("_words"),
         F.filter(lines, lambda x: F.btrim(x, F.lit(BLANK_CHARS)) != "").alias("_lines"),
-        F.filter(lines, line_fails).alias("_failed"),
+        F.transform(lines, lambda x: F.struct(x.alias("line"), line_fails(x).alias("fails"))).alias("_judged"),
     )
+    picked = lambda fails: F.transform(F.filter("_judged", lambda x: x["fails"] == F.lit(fails)), lambda x: x["line"])
+    base = base.select("_row", "_text", "_words", "_lines", picked(True).alias("_failed"), picked(False).alias("_left"))
     n = F.size("_words")
     two = base.select(
         "_row",
         F.when(F.size("_failed") == 0, F.col("_text"))
-        .otherwise(F.concat_ws("\n", F.filter(lines, lambda x: ~F.array_contains("_failed", x))))
+        .otherwise(F.concat_ws("\n", "_left"))
         .alias("clean_text"),
         n.alias("_n"),
         F.length(F.array_join("_words", "")).alias("_chars"),

@@ -109,7 +109,7 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     results are replaced.
     """
     names = ("position", "reply_to", "clean_text", "max_level", "n_quoted", "n_linked")
-    kept = [c for c in (messages.columns if keep is None else keep) if c not in names]
+    kept = [c for c in (messages.columns if keep is None else keep) if c.lower() not in names]
     parsed = parse(messages.select(F.struct(*kept).alias("_row"), F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(text_col).alias("_body")), "_body")
 
     known = parsed.where("conv IS NOT NULL AND turn IS NOT NULL")

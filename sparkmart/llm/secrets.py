@@ -7,7 +7,9 @@ is taken for a secret when its mean log-likelihood ratio, random over ordinary,
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.llm.store import unused
 from sparkmart.llm.words import slices
 
 # The base kinds in their order, with their patterns, and the shortest match that counts.
@@ -48,8 +51,15 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _free(start: int, end: int, spans: list[Span]) -> bool:
-    return all(end <= a or b <= start for a, _, b in spans)
+class _Taken:
+    """Which places the spans cover; spans may overlap."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts, self.ends = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
+
+    def free(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)  # the spans that start before the end
+        return not before or self.ends[before - 1] <= start
 
 
 class MarkovPair:
@@ -87,8 +97,9 @@ def labelled(docs: DataFrame, text_col: str = "text", bound: int = SAMPLE_DOCS)
             rows: list[tuple[str, bool]] = []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
+                taken = _Taken(spans)
                 rows += [(w, True) for a, _, b in spans for w in WORD.findall(text[a:b])[-1:]]
-                rows += [(m.group(), False) for m in WORD.finditer(text) if _free(m.start(), m.end(), spans)]
+                rows += [(m.group(), False) for m in WORD.finditer(text) if taken.free(*m.span())]
             strings, labels = zip(*rows) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(strings, pa.string()), pa.array(labels, pa.bool_())], ["string", "secret"])
 
@@ -125,10 +136,11 @@ FOUND = T.StructType(
 def all_spans(text: str, model: MarkovPair, threshold: float = THRESHOLD) -> list[Span]:
     """Base spans and, where none overlaps, strings the models take for random."""
     base = base_spans(text)
+    taken = _Taken(base)
     more = [
         (m.start(), 3, m.end())
         for m in CANDIDATE.finditer(text)
-        if _free(m.start(), m.end(), base) and model.score(m.group()) >= threshold
+        if taken.free(*m.span()) and model.score(m.group()) >= threshold
     ]
     return sorted(base + more)
 
@@ -155,10 +167,10 @@ def scan_secrets(
 
     Spans are kind:start:end in code points of the whole text, end exclusive, by start and then kind; base holds those of the
     fixed patterns. redacted is the text with each run of overlapping spans replaced, where there are any and this is asked for,
-    else NULL. NULL and empty texts have no spans. Columns of docs named like the results are replaced by them.
+    else NULL. NULL and empty texts have no spans. Columns of docs named like the results, in any case, are replaced by them.
     """
     names = FOUND.fieldNames()
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -175,4 +187,4 @@ def scan_secrets(
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, columns, kinds)], [*kept, *names])
 
     schema = T.StructType([docs.schema[c] for c in kept] + FOUND.fields)
-    return docs.select(F.col(text_col).alias("_text"), *kept).mapInArrow(run, schema)
+    return docs.select(F.col(text_col).alias(unused(docs, "text")), *kept).mapInArrow(run, schema)

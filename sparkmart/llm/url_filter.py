@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.llm.store import unused
+
 #: Rules that one index takes; the driver builds it, so more must be dealt to several filters.
 MAX_RULES = 20_000_000
 VERDICTS = ("allow", "block")
@@ -50,8 +52,8 @@ class RuleIndex:
 
     def __init__(self, file: str):
         with open(file, "rb") as f:
-            count, lengths = np.fromfile(f, np.int64, 2)
-        at = 16
+            count, lengths, longest = np.fromfile(f, np.int64, 3)
+        at, self.longest = 24, int(longest)
         self.lengths = np.fromfile(file, np.int64, lengths, offset=at)
         at += 8 * int(lengths)
         self.digests = np.memmap(file, np.uint64, "r", at, (int(count),)) if count else np.zeros(0, np.uint64)
@@ -78,7 +80,7 @@ class RuleIndex:
             lengths.add(len(path))
         entries = sorted((digest(k), k, v) for k, v in verdicts.items())
         with open(file, "wb") as f:
-            np.array([len(entries), len(lengths)], np.int64).tofile(f)
+            np.array([len(entries), len(lengths), max((len(r[1].lower()) for r in rules), default=0)], np.int64).tofile(f)
             np.array(sorted(lengths), np.int64).tofile(f)
             np.array([d for d, _, _ in entries], np.uint64).tofile(f)
             np.cumsum([0, *(len(k) for _, k, _ in entries)]).astype(np.int64).tofile(f)
@@ -109,7 +111,8 @@ class RuleIndex:
         lengths = self.lengths.tolist()
         for k, (host, path) in enumerate(zip(hosts, paths)):
             starts = [path[:n].encode("utf-8", "surrogatepass") for n in lengths if n <= len(path)]
-            domain = host
+            # A suffix longer than every rule's host fits none, so a host of any length costs little.
+            domain = host if len(host) <= self.longest else host[-self.longest - 1 :].partition(".")[2]
             while domain:
                 raw = domain.encode("utf-8", "surrogatepass")
                 keys += [raw + s for s in starts]
@@ -131,7 +134,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest wins. Without one, rule is NULL and the
     verdict is default: a list of rules only bars what it names. NULL and malformed URLs have empty hosts and paths and fit no rule.
-    Columns named like the results are replaced by them. Without rules every URL gets the default.
+    Columns named like the results, in any case, are replaced by them. Without rules every URL gets the default.
     """
     spark = pages.sparkSession
     stamp = hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
@@ -140,7 +143,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
     spark.sparkContext.addFile(str(file))  # the driver serves it to each executor
     name = file.name
     names = ["host", "path", "rule", "verdict"]
-    kept = [c for c in (pages.columns if keep is None else keep) if c not in names]
+    kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = RuleIndex(SparkFiles.get(name))
@@ -152,4 +155,4 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
 
     schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField(n, T.StringType()) for n in names])
     url = F.col(url_col)
-    return pages.select(host_of(url).alias("_host"), path_of(url).alias("_path"), *kept).mapInArrow(run, schema)
+    return pages.select(host_of(url).alias(unused(pages, "_host")), path_of(url).alias(unused(pages, "_path")), *kept).mapInArrow(run, schema)
