@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 _SHIPPED: set[str] = set()
@@ -64,5 +65,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows of one id each up to which a table of ids is sent to every task; some 60 bytes a row there.
+SENT_IDS = 1_000_000
+
+
+def sent_if_small(ids: DataFrame, limit: int = SENT_IDS) -> DataFrame:
+    """A written table of ids, marked for broadcast if its rows are few enough; else the join is left to Spark."""
+    return F.broadcast(ids) if ids.count() <= limit else ids
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

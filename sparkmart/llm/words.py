@@ -28,7 +28,7 @@ def utf8(text: str | None) -> bytes:
 class WordHashes(dict):
     """XXH64 of words, kept for words seen before; emptied when it has grown large, so memory stays bounded."""
 
-    LIMIT = 250_000
+    LIMIT = 120_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)
