@@ -192,6 +192,12 @@ def read_quoted_splits(t: Tables):
     return _hashed(delimited.read_quoted(t.spark, _notes(t, "notes_split", 12), _NOTES))
 
 
+@example("S-03", _NOTES_SQL)
+def read_quoted_by_split(t: Tables):
+    """The same documents cut into records split by split, as large files are."""
+    return _hashed(delimited.read_quoted(t.spark, _notes(t, "notes"), _NOTES, whole_below=0))
+
+
 @example("S-04, S-07, S-08, F-30", with_ctes("SELECT order_status, count(*) AS cnt FROM raw_orders GROUP BY 1"))
 def latest_raw_batch(t: Tables):
     """Two batches appended; the profile reads only the newest."""

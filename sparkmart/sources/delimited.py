@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.plans.spec import EntitySpec
+from sparkmart.sources.quoted import largest_file, records
 
 
 def text_schema(columns: Sequence[str]) -> str:
@@ -34,22 +35,22 @@ def flatten_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def read_quoted(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
+_QUOTED = {"lineSep": "\n", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+
+
+def read_quoted(spark: SparkSession, path: str, spec: EntitySpec, whole_below: int | None = None) -> DataFrame:
     """Comma-separated records whose quoted fields may hold commas, pipes and line breaks.
 
     A quote opens a field only where the field starts; elsewhere it is text. Records end at a line feed outside quotes, and the
-    carriage return before it goes with the blanks around a field; inside quotes both stay and become one blank each. Whether a
-    line break ends a record depends on everything before it, so one file is one task, whatever its size: deliver a large entity
-    as many files.
+    carriage return before it goes with the blanks around a field; inside quotes both stay and become one blank each. Whether a line
+    break ends a record depends on everything before it. Files of at most whole_below bytes, one split by default, are read by
+    one task each; if any is larger, all are cut into records split by split (see :mod:`sparkmart.sources.quoted`), with the same rows.
     """
-    rows = (
-        spark.read.schema(text_schema(spec.columns))
-        .option("header", True)
-        .option("multiLine", True)
-        .option("lineSep", "\n")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    if whole_below is None:
+        whole_below = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).removesuffix("b"))
+    schema = text_schema(spec.columns)
+    if largest_file(spark, path) <= whole_below:
+        rows = spark.read.schema(schema).options(header=True, multiLine=True, **_QUOTED).csv(path)
+    else:
+        rows = records(spark, path).select(F.from_csv("record", schema, _QUOTED).alias("r")).select("r.*")
     return flatten_fields(rows)

@@ -70,6 +70,42 @@ def test_quoted_files_of_every_shape(spark, tmp_path, rows, case, split, head):
     assert got == sorted(want * 2, key=repr)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_records_cut_split_by_split_equal_whole_files(spark, tmp_path, rows, seed):
+    rng = random.Random(seed)
+    head = rng.choice(["id,note,tag\n", "\n\nid,note,tag\n", '"i\nd",note,tag\r\n'])
+    for name in ("a.csv", "b.csv"):
+        text = "".join(rng.choice('ab",\n\n"é') for _ in range(400)) + rng.choice(["", "\n", '"', '",\n'])
+        (tmp_path / name).write_text(head + text, encoding="utf-8", newline="")
+    want = rows(delimited.read_quoted(spark, str(tmp_path), NOTES, whole_below=1 << 30))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(rng.choice([7, 33, 150])))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = delimited.read_quoted(spark, str(tmp_path), NOTES)
+        assert rows(got) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_record_over_many_splits(spark, tmp_path, rows):
+    note = "x" * 40 + "\n" + "y" * 300 + "\r\n" + "z, "
+    (tmp_path / "a.csv").write_text(f'id,note,tag\n1,"{note}",t\n2,b,u\n3,"open\n', encoding="utf-8", newline="")
+    (tmp_path / "empty.csv").write_text("", encoding="utf-8")
+    (tmp_path / "head.csv").write_text("id,note,tag", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = rows(delimited.read_quoted(spark, str(tmp_path), NOTES))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [("1", "x" * 40 + " " + "y" * 300 + "  z,", "t"), ("2", "b", "u"), ("3", "open", None)]
+
+
 def test_empty_source_is_an_error(spark, tmp_path):
     file = tmp_path / "t.csv"
     file.write_text("product_category_name|product_category_name_english\n", encoding="utf-8")
