@@ -13,6 +13,7 @@ from gallery.standins import RAW
 from sparkmart.functions import hashing, text
 from sparkmart.operators import merge, quality
 from sparkmart.plans import entities, mart, spec
+from sparkmart.sources import buckets
 
 FIRST_LOAD, SECOND_LOAD, THIRD_LOAD = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
 
@@ -197,6 +198,47 @@ def merge_second_load(t: Tables):
     return _state(_after(t, 2))
 
 
+def _bucketed(t: Tables, name: str, *deliveries: DataFrame) -> tuple[str, list[dict]]:
+    """The folder of a bucketed table after these loads, and what each load did."""
+    done: list[dict] = []
+
+    def write(root: str) -> None:
+        for delivery, now in zip(deliveries, (FIRST_LOAD, SECOND_LOAD, THIRD_LOAD)):
+            before = done[-1]["version"] if done else None
+            moment = F.lit(now.replace(tzinfo=dt.timezone.utc))
+            done.append(buckets.load(t.spark, root, "orders", before, delivery, ["o_orderkey"], moment))
+        t.spark.createDataFrame(done).coalesce(1).write.parquet(f"{root}/loads")
+
+    root = t.once(name, write)
+    loads = [r.asDict() for r in t.spark.read.parquet(f"{root}/loads").collect()]  # one row a load
+    return root, loads
+
+
+@example("M-01, J-13, S-13", f"SELECT * EXCLUDE (action) FROM ({_STATE_2})")
+def merge_bucketed_load(t: Tables):
+    """The second delivery merged bucket by bucket."""
+    root, loads = _bucketed(t, "bucketed_orders", _delivery(t, 1), _delivery(t, 2))
+    newest = next(x["version"] for x in loads if x["rows_updated"])
+    return _state(buckets.read(t.spark, root, "orders", newest).withColumn("_action", F.lit(""))).drop("action")
+
+
+@example("M-01, M-02, S-13", """
+SELECT count(DISTINCT substr(md5(o_orderkey::VARCHAR), 1, 2)) AS buckets,
+       count(DISTINCT substr(md5(o_orderkey::VARCHAR), 1, 2)) FILTER (WHERE late) AS buckets_written,
+       count(*) FILTER (WHERE late) AS rows_inserted
+FROM (SELECT *, o_orderdate::DATE = (SELECT max(o_orderdate::DATE) FROM orders) AS late FROM orders)""")
+def merge_buckets_written(t: Tables):
+    """How many buckets a delivery writes that brings the orders of one more day."""
+    orders = t.table("orders")
+    newest = orders.agg(F.max(F.to_date("o_orderdate")).alias("d"))
+    hashed = hashing.row_hash([F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice")])
+    rows = orders.select("o_orderkey", *_CONTENT, hashed.alias("row_hash"), F.to_date("o_orderdate").alias("d"))
+    whole, earlier = rows.drop("d"), rows.where(F.col("d") < newest.scalar()).drop("d")
+    _, loads = _bucketed(t, "bucketed_days", earlier, whole)
+    last = min(loads, key=lambda x: x["rows_inserted"])
+    return t.spark.createDataFrame([(last["buckets"], last["buckets_written"], last["rows_inserted"])], "buckets long, buckets_written long, rows_inserted long")
+
+
 @example("M-02, A-04", f"""
 SELECT count(*) FILTER (WHERE action = 'INSERT') AS rows_inserted,
        count(*) FILTER (WHERE action IN ('UPDATE', 'SOFT_DELETE')) AS rows_updated, 0 AS rows_deleted FROM ({_STATE_2})""")

@@ -15,7 +15,7 @@ from sparkmart.plans import entities, ledger, mart
 from sparkmart.plans import spec as specs
 from sparkmart.plans.lookups import order_status_dim, payment_type_dim
 from sparkmart.plans.spec import EntitySpec
-from sparkmart.sources import delimited, raw, tables
+from sparkmart.sources import buckets, delimited, raw, tables
 
 
 class ConflictingDuplicates(ValueError):
@@ -31,11 +31,16 @@ def _name(path: str) -> str:
 
 
 class Warehouse:
-    """A warehouse under one root folder. Every load writes its ledger rows and returns its counts."""
+    """A warehouse under one root folder. Every load writes its ledger rows and returns its counts.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``bucket_digits`` cleansed tables are kept in 16 ** bucket_digits buckets of their key, and a load writes only those that it
+    changes; without, each load writes its whole table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, bucket_digits: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_digits = bucket_digits
         ledger.create(spark, self.root)
 
     # -- ledger -----------------------------------------------------------------------------
@@ -121,6 +126,11 @@ class Warehouse:
                 if conflict:
                     raise ConflictingDuplicates(f"{spec.name}: {conflict[0]['affected_row_count']} conflicting rows")
                 source = specs.admit(clean, spec)
+                if self.bucket_digits:
+                    before = tables.current_version(self.spark, self.root, f"cleansed/{spec.name}")
+                    done = buckets.load(
+                        self.spark, self.root, f"cleansed/{spec.name}", before, source, spec.keys, F.lit(ledger.utc_now()), self.bucket_digits)
+                    return {k: v for k, v in done.items() if not k.startswith("buckets")}
                 target = self.cleansed(spec.name)
                 if target is None:
                     target = self._empty_cleansed(source)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.plans import ledger
+from sparkmart.sources import buckets
 
 
 def version_path(root: str, table: str, version: str) -> str:
@@ -36,6 +37,8 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The published state of a table, or None before its first load."""
     version = current_version(spark, root, table)
+    if version and buckets.is_bucketed(version):
+        return buckets.read(spark, root, table, version)
     return spark.read.parquet(version_path(root, table, version)).drop("_action") if version else None
 
 
@@ -52,9 +55,13 @@ def remove_old_versions(spark: SparkSession, root: str, table: str, keep: int =
     """
     log = ledger.read(spark, root, "load_log").where((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
     named = log.where(F.col("version").isNotNull()).orderBy(F.desc("load_ts"), F.desc("version")).select("version").collect()
-    old = [r["version"] for r in named][keep + 1 :]  # one row a load
+    names = [r["version"] for r in named]  # one row a load
+    old = names[keep + 1 :]
+    several = [v for v in old if buckets.is_bucketed(v)]
+    for folder in buckets.unused_buckets(spark, root, table, several, [v for v in names[: keep + 1] if buckets.is_bucketed(v)]):
+        _delete(spark, folder)
     for version in old:
-        _delete(spark, version_path(root, table, version))
+        _delete(spark, f"{root}/{table}/manifest={version}" if version in several else version_path(root, table, version))
     return old
 
 
