@@ -213,3 +213,29 @@ def test_old_versions_are_removed_on_request(spark, tmp_path):
     assert len(gone) == 1 and w.cleansed("sellers").count() == 1
     left = [p.name for p in (tmp_path / "root" / "cleansed" / "sellers").iterdir()]
     assert len(left) == 2 and f"version={gone[0]}" not in left
+
+
+def test_bucketed_tables_move_only_what_changed(spark, tmp_path):
+    data = base()
+    plain, dealt = Warehouse(spark, str(tmp_path / "plain")), Warehouse(spark, str(tmp_path / "dealt"), bucket_digits=1)
+    orders = ENTITIES["orders"]
+
+    def load(w, name, rows):
+        files = write(tmp_path / name, {"orders": rows})
+        w.load_raw(orders, files["orders"])
+        return w.load_cleansed(orders)
+
+    first = [order(n) for n in range(1, 60)]
+    later = [order(n, status="shipped" if n == 7 else "delivered") for n in range(2, 60)]
+    for day, rows in enumerate((data["orders"] + first[3:], later, later), 1):
+        for w in (plain, dealt):
+            load(w, f"day{day}", rows)
+        columns = ["order_id", "order_status", "is_deleted"]
+        assert sorted(map(tuple, dealt.cleansed("orders").select(columns).collect())) == sorted(map(tuple, plain.cleansed("orders").select(columns).collect()))
+    assert len(list((tmp_path / "dealt/cleansed/orders").glob("version=*"))) == 2  # nothing changed on the third day
+    tables.remove_old_versions(spark, dealt.root, "cleansed/orders", keep=0)
+    assert dealt.cleansed("orders").count() == plain.cleansed("orders").count()
+    # A table that was published whole is dealt to buckets by its next load.
+    plain.bucket_digits = 1
+    load(plain, "day4", first)
+    assert plain.cleansed("orders").where("NOT is_deleted").count() == 59 == len({r.order_id for r in plain.cleansed("orders").collect()} & {h(f"o{n}") for n in range(1, 60)})
