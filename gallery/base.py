@@ -62,10 +62,16 @@ def scratch(spark: SparkSession) -> str:
 
 
 def files_state(spark: SparkSession, folder: str) -> str:
-    """A digest of the names, sizes and times of a folder's table files, listed by Spark without reading them."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
-    state = F.array_sort(F.collect_list(F.concat_ws("|", "path", "length", "modificationTime")))
-    return listing.agg(F.md5(F.array_join(state, ";")).alias("state")).first()["state"]
+    """A digest of the names, sizes and times of a folder's table files, from its listing; no job is run."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        path = file.getPath().toString()
+        if path.endswith(".parquet"):
+            found.append(f"{path}|{file.getLen()}|{file.getModificationTime()}")
+    return hashlib.md5(";".join(sorted(found)).encode()).hexdigest()
 
 
 class Tables:
