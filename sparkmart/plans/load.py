@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators import merge
 from sparkmart.operators.skew import hot_values
-from sparkmart.plans import entities, ledger, mart
+from sparkmart.plans import entities, facts, ledger, mart
 from sparkmart.plans import spec as specs
 from sparkmart.plans.lookups import order_status_dim, payment_type_dim
 from sparkmart.plans.spec import EntitySpec
@@ -34,11 +34,13 @@ class Warehouse:
     """A warehouse under one root folder. Every load writes its ledger rows and returns its counts.
 
     With ``bucket_digits`` cleansed tables are kept in 16 ** bucket_digits buckets of their key, and a load writes only those that it
-    changes; without, each load writes its whole table.
+    changes; without, each load writes its whole table. With ``monthly_facts`` facts are kept by month, and a load writes only the
+    months that hold a changed order.
     """
 
-    def __init__(self, spark: SparkSession, root: str, bucket_digits: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, bucket_digits: int | None = None, monthly_facts: bool = False):
         self.spark = spark
+        self.monthly_facts = monthly_facts
         self.root = root.rstrip("/")
         self.bucket_digits = bucket_digits
         ledger.create(spark, self.root)
@@ -171,6 +173,51 @@ class Warehouse:
 
         return self._run("MART", name, job, work)
 
+    def _load_monthly(
+        self, name: str, sources: Mapping[str, DataFrame], members: list, build: Callable[[Mapping[str, DataFrame]], DataFrame],
+        spread: list[str], job: str | None, lookups: Mapping[str, DataFrame], movable: Mapping[str, str] | None = None,
+    ) -> dict:
+        """Refresh a fact kept by month, or build it whole where there is nothing to start from.
+
+        It is built whole before its first load by month, after a calendar or lookup has grown, a dimension was started anew, or a
+        version that is needed to see rows move between orders was removed.
+        """
+        table = f"mart/{name}"
+
+        def work() -> dict:
+            versions = {n: tables.current_version(self.spark, self.root, f"cleansed/{n}") for n in sources}
+            now = {n: facts.newest_update(rows) for n, rows in sources.items()}
+            now |= {d.name: facts.top_member(d, rows) for d, rows, _ in members}
+            now |= {n: rows.count() for n, rows in lookups.items()}
+            before = tables.current_version(self.spark, self.root, table)
+            seen = facts.recall(self.spark, self.root, table, before)
+            if seen and self._can_refresh(seen, now, members, lookups, movable or {}):
+                marks, former = seen
+                known = {n: (key, tables.read_version(self.spark, self.root, f"cleansed/{n}", former[n])) for n, key in (movable or {}).items()}
+                grown = [m for m in members if now[m[0].name] > marks[m[0].name]]
+                heavy = {d.natural: hot_values(sources[holder], [d.natural])[d.natural] for d, _, holder in grown}
+                changed = facts.changed_orders(sources, marks, grown, known, heavy)
+
+                def rebuild(orders: DataFrame) -> DataFrame:
+                    own = {n: facts.of_orders(r, orders, hot_values(r, ["order_id"])["order_id"], list(entities.ENTITIES[n].keys)) for n, r in sources.items()}
+                    return build(own)
+
+                done = facts.refresh(self.spark, self.root, table, before, changed, rebuild, spread)
+            else:
+                done = facts.build(self.spark, self.root, table, build(sources))
+            facts.remember(self.spark, self.root, table, done["version"], now, versions)
+            return {k: v for k, v in done.items() if not k.startswith("buckets")}
+
+        return self._run("MART", name, job, work)
+
+    def _can_refresh(self, seen: tuple[dict, dict], now: Mapping[str, int], members: list, lookups: Mapping, movable: Mapping) -> bool:
+        marks, versions = seen
+        whole = all(n in marks for n in now)
+        same = all(marks.get(n) == now[n] for n in lookups)
+        onward = all(marks.get(d.name, 0) <= now[d.name] for d, _, _ in members)
+        there = all(n in versions and tables.version_exists(self.spark, self.root, f"cleansed/{n}", versions[n]) for n in movable)
+        return whole and same and onward and there
+
     def _load_missing(self, name: str, rows: DataFrame, key: str, job: str | None) -> dict:
         before = self.mart(name)
         return self._load_whole(
@@ -180,7 +227,7 @@ class Warehouse:
     def load_mart(
         self, job: str | None = None, start: dt.date = dt.date(2016, 1, 1), end: dt.date = dt.date(2018, 12, 31)
     ) -> None:
-        """All dimensions, then both facts as full reloads; what fails leaves its row in the ledger."""
+        """All dimensions, then both facts, whole or by month; what fails leaves its row in the ledger."""
 
         loaded = {name: self.cleansed(name) for name in entities.ENTITIES}
         missing = [name for name, frame in loaded.items() if frame is None]
@@ -210,21 +257,34 @@ class Warehouse:
 
         dates, customers = self.mart("dim_date"), self.mart("dim_customer")
 
-        def sales() -> DataFrame:
-            heavy = {**hot_values(orders, ["customer_id"]), **hot_values(items, ["order_id", "seller_id", "product_id"])}
+        sellers, products = self.mart("dim_seller"), self.mart("dim_product")
+        statuses, types = self.mart("dim_order_status"), self.mart("dim_payment_type")
+
+        def sales(own: Mapping[str, DataFrame]) -> DataFrame:
+            lines, heads = own["order_items"], own["orders"]
+            heavy = {**hot_values(heads, ["customer_id"]), **hot_values(lines, ["order_id", "seller_id", "product_id"])}
             return mart.fact_sales(
-                items, orders, loaded["order_reviews"], dates, customers, self.mart("dim_seller"),
-                self.mart("dim_product"), self.mart("dim_order_status"), heavy,
+                lines, heads, own["order_reviews"], dates, customers, sellers, products, statuses, heavy,
             ).withColumn("mart_load_ts", F.current_timestamp())
 
-        def paid() -> DataFrame:
-            heavy = {**hot_values(orders, ["customer_id"]), **hot_values(payments, ["order_id"])}
+        def paid(own: Mapping[str, DataFrame]) -> DataFrame:
+            heavy = {**hot_values(own["orders"], ["customer_id"]), **hot_values(own["order_payments"], ["order_id"])}
             return mart.fact_payments(
-                payments, orders, dates, customers, self.mart("dim_payment_type"), heavy
+                own["order_payments"], own["orders"], dates, customers, types, heavy
             ).withColumn("mart_load_ts", F.current_timestamp())
 
-        self._load_whole("fact_sales", sales, job)
-        self._load_whole("fact_payments", paid, job)
+        sold = {"orders": orders, "order_items": items, "order_reviews": loaded["order_reviews"]}
+        settled = {"orders": orders, "order_payments": payments}
+        if not self.monthly_facts:
+            self._load_whole("fact_sales", lambda: sales(sold), job)
+            self._load_whole("fact_payments", lambda: paid(settled), job)
+            return
+        buyers = (mart.DIM_CUSTOMER, customers, "orders")
+        self._load_monthly(
+            "fact_sales", sold, [buyers, (mart.DIM_SELLER, sellers, "order_items"), (mart.DIM_PRODUCT, products, "order_items")],
+            sales, ["order_item_id"], job, {"dim_date": dates, "dim_order_status": statuses}, {"order_reviews": "review_id"})
+        self._load_monthly(
+            "fact_payments", settled, [buyers], paid, ["payment_sequential"], job, {"dim_date": dates, "dim_payment_type": types})
 
     # -- whole run --------------------------------------------------------------------------
 

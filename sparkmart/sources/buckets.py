@@ -40,7 +40,8 @@ def manifest(spark: SparkSession, root: str, table: str, version: str) -> dict[s
     return {r["bucket"]: r["version"] for r in rows}
 
 
-def _read(spark: SparkSession, root: str, table: str, buckets: dict[str, str]) -> DataFrame:
+def read_buckets(spark: SparkSession, root: str, table: str, buckets: dict[str, str]) -> DataFrame:
+    """The rows of these buckets, each from the version named, with their bucket."""
     paths = [f"{_folder(root, table, v)}/{BUCKET}={b}" for b, v in sorted(buckets.items())]
     return spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("version", "_action")
 
@@ -48,7 +49,7 @@ def _read(spark: SparkSession, root: str, table: str, buckets: dict[str, str]) -
 def read(spark: SparkSession, root: str, table: str, version: str) -> DataFrame | None:
     """The rows of a version; None if it has none."""
     buckets = manifest(spark, root, table, version)
-    return _read(spark, root, table, buckets).drop(BUCKET) if buckets else None
+    return read_buckets(spark, root, table, buckets).drop(BUCKET) if buckets else None
 
 
 def _digests(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -84,7 +85,7 @@ def load(
         mine = mine.select(BUCKET).unionByName(whole.select(BUCKET)).distinct()
     elif old:
         live = ~F.col("is_deleted") if protect is None else ~F.col("is_deleted") & ~F.coalesce(protect, F.lit(False))
-        theirs = _digests(_read(spark, root, table, old).where(live), keys, "theirs")
+        theirs = _digests(read_buckets(spark, root, table, old).where(live), keys, "theirs")
         mine = mine.join(theirs, BUCKET, "full_outer").where(~F.col("mine").eqNullSafe(F.col("theirs")))
     touched = sorted(r[BUCKET] for r in mine.select(BUCKET).collect())  # at most one row for each bucket
     now_there = {b: v for b, v in old.items() if b not in touched}
@@ -95,7 +96,7 @@ def load(
         if whole is not None:
             target = whole
         elif present:
-            target = _read(spark, root, table, present)
+            target = read_buckets(spark, root, table, present)
         else:
             target = fresh.limit(0).selectExpr("*", "false AS is_deleted", "CAST(NULL AS timestamp) AS deleted_at", "CAST(NULL AS timestamp) AS updated_at")
         merged = merge.merge_upsert(target, fresh, by, now, protect)
@@ -108,6 +109,32 @@ def load(
     return {**counts, "rows_processed": counts["rows_inserted"] + counts["rows_updated"], "version": version, "buckets_written": len(touched), "buckets": len(now_there)}
 
 
+def _buckets_in(spark: SparkSession, folder: str) -> list[str]:
+    """The buckets that a write has left in a folder, from its listing."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [f.getPath().getName() for f in top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{BUCKET}="))
+
+
+def replace(spark: SparkSession, root: str, table: str, before: str | None, rows: DataFrame, touched: Sequence[str] | None = None) -> dict:
+    """Publish a version in which the touched buckets (all, if not named) hold these rows, which name theirs in BUCKET.
+
+    Other buckets stay as the version before has them; a touched bucket without rows is gone.
+    """
+    version = f"{_PREFIX}{uuid.uuid4().hex}"
+    old = manifest(spark, root, table, before) if before and touched is not None else {}
+    there = {b: v for b, v in old.items() if b not in set(touched or ())}
+    written, count = [], 0
+    if touched is None or len(touched):
+        folder = _folder(root, table, version)
+        rows.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(folder)
+        written = _buckets_in(spark, folder)
+        count = read_buckets(spark, root, table, dict.fromkeys(written, version)).count() if written else 0
+    there |= dict.fromkeys(written, version)
+    spark.createDataFrame(sorted(there.items()), "bucket string, version string").coalesce(1).write.parquet(f"{root}/{table}/manifest={version}")
+    return {"rows": count, "version": version, "buckets_written": len(written), "buckets": len(there)}
+
+
 def unused_buckets(spark: SparkSession, root: str, table: str, named: Sequence[str], keep: Sequence[str]) -> list[str]:
     """The folders that the named versions wrote and no kept version refers to."""
     kept = {(b, v) for k in keep for b, v in manifest(spark, root, table, k).items()}

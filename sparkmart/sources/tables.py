@@ -36,7 +36,17 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The published state of a table, or None before its first load."""
-    version = current_version(spark, root, table)
+    return read_version(spark, root, table, current_version(spark, root, table))
+
+
+def version_exists(spark: SparkSession, root: str, table: str, version: str) -> bool:
+    """Whether a version has not been removed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/manifest={version}" if buckets.is_bucketed(version) else version_path(root, table, version))
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_version(spark: SparkSession, root: str, table: str, version: str | None) -> DataFrame | None:
+    """A table as one of its versions has it."""
     if version and buckets.is_bucketed(version):
         return buckets.read(spark, root, table, version)
     return spark.read.parquet(version_path(root, table, version)).drop("_action") if version else None
@@ -62,6 +72,7 @@ def remove_old_versions(spark: SparkSession, root: str, table: str, keep: int =
         _delete(spark, folder)
     for version in old:
         _delete(spark, f"{root}/{table}/manifest={version}" if version in several else version_path(root, table, version))
+        _delete(spark, f"{root}/{table}/seen={version}")
     return old
 
 
