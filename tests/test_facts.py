@@ -1,48 +1,84 @@
 import datetime as dt
+from decimal import Decimal
 
 from sparkmart.plans import facts, mart
 from sparkmart.plans.entities import ENTITIES
 from sparkmart.plans.load import Warehouse
+from sparkmart.plans.lookups import order_status_dim
 from sparkmart.sources import buckets, tables
-from test_warehouse import SPAN, base, h, order, write
 
-SALES = ["order_id", "order_item_id", "purchase_date_key", "customer_key", "seller_key", "product_key", "order_status_key", "price", "review_score",
-         "purchase_to_delivery_days"]
-PAYMENTS = ["order_id", "payment_sequential", "purchase_date_key", "customer_key", "payment_type_key", "payment_value"]
+SALES = ["order_id", "order_item_id", "purchase_date_key", "customer_key", "seller_key", "product_key", "order_status_key", "price", "review_score"]
+DAYS = {n: dt.datetime(2024, 1, n, tzinfo=dt.timezone.utc) for n in (1, 2)}
+TABLES = {
+    "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, order_approved_at timestamp, "
+    "order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp, order_estimated_delivery_date timestamp",
+    "order_items": "order_id string, order_item_id string, product_id string, seller_id string, price decimal(10,2), freight_value decimal(10,2)",
+    "order_reviews": "review_id string, order_id string, review_score byte, review_creation_date timestamp, review_answer_timestamp timestamp",
+}
 
 
-def _second_day():
-    data = base()
-    # o2 goes from March to April, o3 is gone, o8 comes and so do its lines; o4 comes in March.
-    data["orders"] = [order(1), order(2, "c2", "delivered", "2017-04-01 10:00:00"), order(8, "c2", bought="2017-06-01 09:00:00"), order(4, bought="2017-03-05 09:00:00")]
-    data["order_items"] = [*data["order_items"][:1], *data["order_items"][2:], [h("o4"), "1", h("p9"), h("s1"), "2017-02-03 00:00:00", "7.00", "0.50"]]
-    data["order_payments"] = [[h("o1"), "1", "credit_card", "3", "35.00"], [h("o4"), "1", "voucher", "1", "7.50"]]
-    # r1 changes its order and text, so o1 loses its score from r1 and o4 has one.
-    data["order_reviews"] = [[h("r1"), h("o4"), "4", "other", "text", "2017-02-06 00:00:00", "2017-02-07 00:00:00"]]
-    data["products"] = [*data["products"], [h("p9"), "perfumaria", "10", "20", "1", "100", "10", "10", "10"]]
-    return data
+def _order(name, month, status="delivered"):
+    return (name, "c1", status, *[dt.datetime(2017, month, d, tzinfo=dt.timezone.utc) for d in (1, 1, 2, 5, 9)])
 
 
-def test_refreshed_facts_equal_a_full_reload(spark, tmp_path, rows):
+def _line(order, product="p1", price="10.00"):
+    return (order, "1", product, "s1", Decimal(price), Decimal("1.00"))
+
+
+def _review(name, order, score):
+    return (name, order, score, DAYS[1], DAYS[1])
+
+
+#: Rows as (row, deleted, day of the load that touched them). On day 2 o2 moves from March to April, o3 is undone, o4 comes, o5's line has
+#: another price, review r1 goes from o1 to o4, and product p9, of o6, becomes known; o7 stays.
+CLEANSED = {
+    1: {
+        "orders": [(_order(f"o{i}", 3 if i == 2 else i), False, 1) for i in (1, 2, 3, 5, 6, 7)],
+        "order_items": [(_line(f"o{i}", "p9" if i == 6 else "p1"), False, 1) for i in (1, 2, 3, 4, 5, 6, 7)],
+        "order_reviews": [(_review("r1", "o1", 5), False, 1), (_review("r2", "o7", 3), False, 1)],
+    },
+    2: {
+        "orders": [*[(_order(f"o{i}", i), i == 3, 1 if i > 4 or i == 1 else 2) for i in (1, 3, 4, 5, 6, 7)], (_order("o2", 4), False, 2)],
+        "order_items": [*[(_line(f"o{i}", "p9" if i == 6 else "p1"), False, 1) for i in (1, 2, 3, 4, 6, 7)], (_line("o5", price="11.00"), False, 2)],
+        "order_reviews": [(_review("r1", "o4", 4), False, 2), (_review("r2", "o7", 3), False, 1)],
+    },
+}
+
+
+def test_a_load_refreshes_the_months_it_changes(spark, tmp_path, rows):
     w = Warehouse(spark, str(tmp_path / "house"), monthly_facts=True)
-    versions = []
-    for number, data in enumerate([base(), _second_day()], 1):
-        w.run_full(write(tmp_path / f"day{number}", data), every=True, **SPAN)
-        versions.append(tables.current_version(spark, w.root, "mart/fact_sales"))
-    clean, star = w.cleansed, w.mart
-    sales = mart.fact_sales(
-        clean("order_items"), clean("orders"), clean("order_reviews"), star("dim_date"), star("dim_customer"), star("dim_seller"), star("dim_product"),
-        star("dim_order_status"))
-    paid = mart.fact_payments(clean("order_payments"), clean("orders"), star("dim_date"), star("dim_customer"), star("dim_payment_type"))
-    assert rows(star("fact_sales"), *SALES) == rows(sales, *SALES)
-    assert rows(star("fact_payments"), *PAYMENTS) == rows(paid, *PAYMENTS)
-    before, after = (buckets.manifest(spark, w.root, "mart/fact_sales", v) for v in versions)
-    assert set(before) == {"m201702", "m201703"} and set(after) == {"m201702", "m201703", "m201704", "m201706"}
-    seen = facts.recall(spark, w.root, "mart/fact_sales", versions[1])
-    now, lookups = dict(seen[0]), {"dim_date": None}
-    assert w._can_refresh(seen, now, [], lookups, {"order_reviews": "review_id"})
-    assert not w._can_refresh(seen, now | {"dim_date": now["dim_date"] + 1}, [], lookups, {})
-    assert not w._can_refresh((seen[0], {"order_reviews": "gone"}), now, [], lookups, {"order_reviews": "review_id"})
+    dates = mart.date_dim(spark, dt.date(2017, 1, 1), dt.date(2017, 12, 31))
+    statuses = order_status_dim(spark)
+    customers = spark.createDataFrame([("c1", 1)], "customer_id string, customer_key long")
+    sellers = spark.createDataFrame([("s1", 1)], "seller_id string, seller_key long")
+    products = spark.createDataFrame([("p1", 1), ("p9", 2)], "product_id string, product_key long")
+    manifests = {}
+    for day, state in CLEANSED.items():
+        sources = {}
+        for name, content in state.items():
+            frame = spark.createDataFrame([(*r, deleted, DAYS[d]) for r, deleted, d in content], f"{TABLES[name]}, is_deleted boolean, updated_at timestamp")
+            w._run("CLEANSED", name, None, lambda f=frame, n=name: {"rows_processed": 0, "version": tables.write_version(f, w.root, f"cleansed/{n}")})
+            sources[name] = w.cleansed(name)
+        known = products.where("product_key <= " + str(day))
+
+        def build(own, known=known):
+            return mart.fact_sales(own["order_items"], own["orders"], own["order_reviews"], dates, customers, sellers, known, statuses)
+
+        members = [(mart.DIM_CUSTOMER, customers, "orders"), (mart.DIM_SELLER, sellers, "order_items"), (mart.DIM_PRODUCT, known, "order_items")]
+        w._load_monthly("fact_sales", sources, members, build, ["order_item_id"], None, {"dim_date": dates}, {"order_reviews": "review_id"})
+        assert rows(w.mart("fact_sales"), *SALES) == rows(build(sources), *SALES)
+        version = tables.current_version(spark, w.root, "mart/fact_sales")
+        manifests[version] = buckets.manifest(spark, w.root, "mart/fact_sales", version)
+    first, second = manifests
+    assert set(manifests[first]) == {"m201701", "m201703", "m201705", "m201706", "m201707"}
+    assert {b for b, v in manifests[second].items() if v == second} == {"m201701", "m201704", "m201705", "m201706"}
+    assert {b for b, v in manifests[second].items() if v == first} == {"m201707"}
+    seen = facts.recall(spark, w.root, "mart/fact_sales", second)
+    now, moves = dict(seen[0]), {"order_reviews": "review_id"}
+    assert w._can_refresh(seen, now, members, {"dim_date": dates}, moves)
+    assert not w._can_refresh(seen, now | {"dim_date": now["dim_date"] + 1}, members, {"dim_date": dates}, moves)
+    assert not w._can_refresh(seen, now | {"dim_product": 0}, members, {"dim_date": dates}, moves)
+    assert not w._can_refresh((seen[0], {"order_reviews": "gone"}), now, members, {"dim_date": dates}, moves)
 
 
 FACT = "order_id string, line int, purchase_date_key int, v string"
