@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-_PHRASES = (
-    "accept cookies|all rights reserved|click here|cookie policy|enable javascript|log in|privacy policy|read more|"
-    "share this|sign up|skip to content|subscribe to our newsletter|terms of service|terms of use"
-)
+from sparkmart.llm.quality_rules import BOILERPLATE
+
+#: Phrases between blanks, in lines where each word has a blank of its own on both sides.
+_PHRASES = "|".join(p.replace(" ", "  ") for p in sorted(BOILERPLATE, key=len, reverse=True))
 
 QUALITY_RULES = rf"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
@@ -28,11 +28,14 @@ judged AS (
     length(line) - length(regexp_replace(line, '[#*$%&|<>{{}}\[\]~^=_\\]', '', 'g')) AS noise,
     length(line) - length(regexp_replace(line, '[|»›•·]', '', 'g')) AS bars,
     len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n,
-    length(line) <= 100 AND regexp_matches(lower(line), '{_PHRASES}') AS phrase
-  FROM (SELECT doc_id, unnest(lines) AS line FROM parts)),
+    len(list_filter(string_split(plain, ' '), lambda x: x <> '')) AS n_plain,
+    len(list_filter(string_split(regexp_replace(plain, ' (?:{_PHRASES}) ', '', 'g'), ' '), lambda x: x <> '')) AS n_other
+  FROM (
+    SELECT doc_id, line, ' ' || replace(trim(regexp_replace(lower(line), '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g')), ' ', '  ') || ' ' AS plain
+    FROM (SELECT doc_id, unnest(lines) AS line FROM parts))),
 lost AS (
   SELECT doc_id, sum(solid) AS n FROM judged
-  WHERE noise * 10 > solid * 3 OR (bars >= 3 AND n - bars <= 4 * (bars + 1)) OR phrase GROUP BY doc_id),
+  WHERE noise * 10 > solid * 3 OR (bars >= 3 AND n - bars <= 4 * (bars + 1)) OR n_plain > 2 * n_other GROUP BY doc_id),
 counted AS (
   SELECT p.doc_id, len(words) AS n_words, length(list_aggregate(words, 'string_agg', '')) AS word_chars,
     length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -134,13 +137,13 @@ evidence AS (
     UNION ALL
     SELECT conv_id, turn, level, trim(regexp_replace(lower(string_agg(body, chr(10) ORDER BY i)), '[^\p{L}\p{N}]+', ' ', 'g'))
     FROM runs GROUP BY conv_id, turn, run, level)
-  WHERE len(string_split(said, ' ')) >= 3),
+  WHERE said <> ''),
 first AS (SELECT conv_id, said, min(turn) AS said_at FROM evidence WHERE level = 0 GROUP BY conv_id, said),
 votes AS (
-  SELECT e.conv_id, e.turn, e.level, f.said_at, count(*) AS votes
+  SELECT e.conv_id, e.turn, e.level, f.said_at, count(*) AS votes, sum(length(replace(e.said, ' ', ''))) AS weight
   FROM evidence e JOIN first f ON f.conv_id = e.conv_id AND f.said = e.said WHERE e.level > 0 AND f.said_at < e.turn GROUP BY ALL),
 best AS (
-  SELECT conv_id, turn, arg_max(said_at, {'l': -level, 'v': votes, 's': said_at}) AS said_at, sum(votes) AS n_linked FROM votes GROUP BY conv_id, turn),
+  SELECT conv_id, turn, arg_max(said_at, {'l': -level, 'w': weight, 's': said_at}) AS said_at, sum(votes) AS n_linked FROM votes GROUP BY conv_id, turn),
 quoted AS (SELECT conv_id, turn, count(*) AS n FROM evidence WHERE level > 0 GROUP BY conv_id, turn),
 own AS (SELECT conv_id, turn, coalesce(string_agg(body, chr(10) ORDER BY i), '') AS own_text FROM kept WHERE level = 0 GROUP BY conv_id, turn),
 place AS (
