@@ -10,10 +10,13 @@ pre-tokenizer's pattern and of the merges together:
 * Pieces. Modes tell letters, digits, other signs, white space and the apostrophe forms apart. White space before a sign waits
   with the count as it would be without its last character, as that one may belong to what follows.
 
-States are made when first met, so the machine is as large as the language it has read; it is emptied when it passes LIMIT. A
-chunk's map, from the state it is entered in to the state it is left in and its count, is constant from the first byte on that is
-white space after an ASCII sign, because the state there is always the same. Chunks are run side by side from there on; the
-bytes before run from the state that the chunk before is left in. A chunk without such a place waits for the chunk before it.
+States are made when first met, so the machine is as large as the language it has read; it is emptied when it passes LIMIT.
+
+A text is cut into chunks that are read side by side. A chunk's map leads from the state it is entered in to the state it is left
+in and the tokens between. From white space after an ASCII sign on the state is always the same, so the map of a chunk that has
+such a place is constant but for its first bytes. Any other chunk (Chinese text, one long run of letters) is read from the few
+states that the bytes before it suggest, and maps of neighbours compose pairwise in a prefix scan, in as many rounds as the
+chunks' number has binary digits. A map that lacks the state its chunk is truly entered in gets it, and the scan is done again.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from sparkmart.llm.piece_tokens import bytes_by_sign
 from sparkmart.llm.words import utf8
 
 CHUNK = 2048
+#: States a chunk's map is made for before the true one is known, and the bytes before the chunk that suggest them.
+WIDTH, LOOK = 16, 128
 #: Texts that are read side by side.
 LANES = 2500
 #: Room for the states that one count may add past the limit.
@@ -266,18 +271,78 @@ class Machine:
         left[done], tokens[done] = self.run(data, tail[done], end[done], state[done])
         # What the byte at the fixed place itself adds: it opens a piece of white space.
         tokens[known] += 1
-        resolved = constant.copy()
-        head_end = np.where(known, there, end)
-        waiting = np.flatnonzero(~opens)
-        while len(waiting):
-            ready = waiting[resolved[waiting - 1]]
-            after, more = self.run(data, first[ready], head_end[ready], left[ready - 1])
-            tokens[ready] += more
-            left[ready] = np.where(known[ready], left[ready], after)
-            waiting = waiting[~resolved[waiting - 1]]
-            resolved[ready] = True
+        loose = np.flatnonzero(~constant)
+        if len(loose):
+            left[loose], tokens[loose] = self._composed(data, first, end, loose, left)
+        heads = np.flatnonzero(known)
+        tokens[heads] += self.run(data, first[heads], there[heads], left[heads - 1])[1]
         return tokens
 
+    def _suggested(self, data: np.ndarray, lowest: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """States that places may be reached in, read from two neighbouring characters before them: which place, and the state."""
+        found, place = [], np.maximum(lowest, at - LOOK)
+        for _ in range(2):
+            for _ in range(3):  # on to the first byte of a character
+                place = place + ((place < at) & (data[np.minimum(place, len(data) - 1)] & 0xC0 == 0x80))
+            some = np.flatnonzero(place < at)
+            found.append((some, self.run(data, place[some], at[some], np.full(len(some), self.start, np.int64))[0]))
+            place = np.minimum(place + 1, at)
+        return found
+
+    def _composed(self, data: np.ndarray, first: np.ndarray, end: np.ndarray, loose: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State each of these chunks is left in and its tokens; the chunk before a run of them has its state in left."""
+        opens = np.concatenate(([True], loose[1:] != loose[:-1] + 1))
+        begin = np.flatnonzero(opens)
+        run = np.cumsum(opens) - 1
+        nth = np.arange(len(loose)) - begin[run]
+        first, end, given = first[loose], end[loose], left[loose[begin] - 1]
+        entry, exits = np.full((2, len(loose), WIDTH), -1, np.int64)
+        gain, used = np.zeros((len(loose), WIDTH), np.int64), np.zeros(len(loose), np.int64)
+        inner = np.flatnonzero(~opens)
+        suggested = self._suggested(data, first[begin][run[inner]], first[inner])
+        chunk = np.concatenate((begin, *(inner[some] for some, _ in suggested)))
+        state = np.concatenate((given, *(states for _, states in suggested)))
+        while True:
+            pairs = np.unique(np.stack((chunk, state)), axis=1)
+            chunk, state = pairs
+            slot = used[chunk] + np.arange(len(chunk)) - np.searchsorted(chunk, chunk)
+            chunk, state, slot = (x[slot < WIDTH] for x in (chunk, state, slot))
+            entry[chunk, slot] = state
+            exits[chunk, slot], gain[chunk, slot] = self.run(data, first[chunk], end[chunk], state)
+            np.maximum.at(used, chunk, slot + 1)
+            after, total = _prefixes(entry[:, : used.max()], exits[:, : used.max()], gain[:, : used.max()], nth)
+            missing = after < 0
+            if not missing.any():
+                return after, total - np.where(opens, 0, np.concatenate(([0], total[:-1])))
+            # The first chunk of a run that lacks its true state gets it alone; those after it get what their neighbours may leave.
+            sure = np.flatnonzero(missing & (np.concatenate(([-1], after[:-1])) >= 0))
+            entry[sure], exits[sure], used[sure] = -1, -1, 0
+            rest = np.setdiff1d(np.flatnonzero(missing), sure)
+            left_in = exits[rest - 1]
+            new = (left_in >= 0) & ~(left_in[:, :, None] == entry[rest][:, None, :]).any(2)
+            chunk = np.concatenate((sure, np.repeat(rest, new.sum(1))))
+            state = np.concatenate((after[sure - 1], left_in[new]))
+
+
+def _prefixes(entry: np.ndarray, exits: np.ndarray, gain: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inclusive prefix scan of the chunks' maps within each run: the state after each chunk, -1 if no map leads there, and the tokens so far.
+
+    Row c maps entry[c, i] to exits[c, i] with gain[c, i] tokens. After the round of distance d row c holds the map of up to 2d chunks
+    that end with c. A run's first chunk has one entry, the true one.
+    """
+    exits, gain = exits.copy(), gain.copy()
+    distance = 1
+    while distance <= nth.max():
+        later = np.flatnonzero(nth >= distance)
+        between, second = exits[later - distance], exits[later]
+        same = (between[:, :, None] == entry[later - distance + 1][:, None, :]) & (between >= 0)[:, :, None]
+        found, place = same.any(2), same.argmax(2)
+        more = np.take_along_axis(gain[later], place, 1)
+        gain[later] = gain[later - distance] + np.where(found, more, 0)
+        exits[later] = np.where(found, np.take_along_axis(second, place, 1), -1)
+        distance *= 2
+    return exits[:, 0], gain[:, 0]
+
 
 _READY: dict[str, Machine] = {}
 

@@ -30,6 +30,37 @@ def test_counts_are_those_of_the_library(monkeypatch, chunk):
     assert Machine(PATH).count(texts)[1] == _library(texts)
 
 
+def _without_fixed_places():
+    rng = random.Random(8)
+    signs = [chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(400)] + ["。", "，", "的", "的", "是", "あ", "の"]
+    han = "".join(rng.choice(signs) for _ in range(30_000))
+    return [han, "".join(rng.choice("abcde") for _ in range(20_000)), "a" * 30_001, "ab" * 9000, "=" * 20_000, "é" * 12_345, "的" * 9001, han[:5000] + " word. " + han[5000:9000]]
+
+
+@pytest.mark.parametrize("chunk", [2048, 61])
+def test_maps_compose_where_no_place_is_fixed(monkeypatch, chunk):
+    monkeypatch.setattr(token_machine, "CHUNK", chunk)
+    texts = _without_fixed_places()
+    assert Machine(PATH).count(texts)[1] == _library(texts)
+
+
+def test_chunks_are_read_in_few_rounds(monkeypatch):
+    own, calls = Machine(PATH), []
+    read = Machine.run
+    monkeypatch.setattr(Machine, "run", lambda self, *args: calls.append(len(args[1])) or read(self, *args))
+    texts = _without_fixed_places()[:1] * 3
+    assert own.count(texts)[1] == _library(texts)
+    assert len(calls) <= 8 < sum(len(t.encode()) for t in texts) // token_machine.CHUNK / 3
+
+
+@pytest.mark.parametrize("width", [1, 2])
+def test_maps_with_little_room(monkeypatch, width):
+    monkeypatch.setattr(token_machine, "WIDTH", width)
+    monkeypatch.setattr(token_machine, "CHUNK", 50)
+    texts = [t[:3000] for t in _without_fixed_places()]
+    assert Machine(PATH).count(texts)[1] == _library(texts)
+
+
 def test_machine_that_is_emptied(monkeypatch):
     texts = _texts()
     own = Machine(PATH)
