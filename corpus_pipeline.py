@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm.decontaminate import decontaminate
-from sparkmart.llm.near_copies import near_copies
+from sparkmart.llm.near_copies import SHINGLE, near_copies
 from sparkmart.llm.packing import pack_documents
 from sparkmart.llm.quality_rules import quality_rules
 from sparkmart.llm.queries import vocabulary
 from sparkmart.llm.secrets import labelled, scan_secrets, train
+from sparkmart.llm.simhash import simhash_groups
 from sparkmart.llm.store import sent_if_small, ship, table, written
 
 _ROW = "_docs"
@@ -44,12 +45,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least doc_id stays.
 
-    Near-duplicates share four fifths of their five-word shingles; op7's fingerprints miss most of these.
+    Near-duplicates have SimHash fingerprints of their five-word shingles within op7's radius, or share four fifths of these shingles:
+    the fingerprints alone miss most such pairs.
     Rows that share a doc_id are one document, of which the least row stays, compared as text. Rows without an id stay, one for
     each text. Columns may have any names and types.
     """
     ship(spark)
-    groups = written(near_copies(docs), "groups")
+    close = written(simhash_groups(docs, shingle=SHINGLE), "close")
+    groups = written(near_copies(docs, linked=close), "groups")
     removed = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "removed")
     named = docs.where(F.col("doc_id").isNotNull())
     kept = named.join(sent_if_small(removed), "doc_id", "left_anti").select(*[named[c] for c in docs.columns])
