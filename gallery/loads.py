@@ -20,7 +20,7 @@ def _build(t: Tables, root: str) -> None:
     for name in LOADED:
         files = f"{root}/files/{name}"
         options = {"header": True, "sep": ENTITIES[name].separator, "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        t.raw(name).repartition(2).write.options(**options).csv(files)
+        t.raw(name).write.options(**options).csv(files)
         house.load_raw(ENTITIES[name], files, quoted=False)
         try:
             house.load_cleansed(ENTITIES[name])
