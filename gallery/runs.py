@@ -168,11 +168,15 @@ _FLAT = r"nullif(trim(regexp_replace(text, '[|\r\n]', ' ', 'g')), '')"
 _NOTES_SQL = f"SELECT cast(doc_id AS varchar) AS doc_id, sha256({_FLAT}) AS note_hash, length({_FLAT}) AS note_length, lang FROM documents"
 
 
+#: Documents of a delivered file, some 30 MB; more of them make more files, not larger ones.
+_FILE_ROWS = 10_000
+
+
 def _notes(t: Tables, name: str, files: int | None = None) -> str:
     rows = t.table("documents").select(F.col("doc_id").cast("string"), F.col("text").alias("note"), "lang")
     rows = rows.repartition(files) if files else rows
     return _files(t, name, rows, sep=",", quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
-                  ignoreTrailingWhiteSpace=False)
+                  ignoreTrailingWhiteSpace=False, maxRecordsPerFile=_FILE_ROWS)
 
 
 def _hashed(notes: DataFrame) -> DataFrame:
