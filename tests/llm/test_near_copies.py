@@ -69,7 +69,7 @@ def test_tiles_hold_every_two_places():
 
 
 def test_rows_grow_with_the_members_of_a_group(spark, monkeypatch):
-    """Copies of one text with a changed word each: all are near (0.77), none is alike, so no link saves a comparison."""
+    """Copies of one text with a changed word each: nearly all pairs are near, few are alike."""
     rng, sizes = random.Random(7), {}
     base = [f"w{i}" for i in range(80)]
     texts = [" ".join([*base[:k], f"new{i}", *base[k + 1 :]]) for i, k in enumerate(rng.choices(range(4, 76), k=300))]
