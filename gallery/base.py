@@ -7,7 +7,7 @@ import functools
 import hashlib
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +100,15 @@ class Tables:
     def cleansed(self, entity: str) -> DataFrame:
         return spec.admit(self.clean(entity), entities.ENTITIES[entity])
 
+    def counted(self, entity: str, packed: Sequence[str] = ()) -> DataFrame:
+        """The cleansed rows, keys counted first: a row that is alone with its key is neither ranked nor shuffled."""
+        clean, described = self.clean(entity), entities.ENTITIES[entity]
+        return spec.admit(clean, described, spec.repeated(clean, described, packed), packed=packed)
+
+    def dealt(self, entity: str, by: str, hot: Mapping) -> DataFrame:
+        """The cleansed rows, ranked where their packed id ``by`` sends them, for a join on it; ranked by their whole key if an id is heavy."""
+        return spec.admit(self.clean(entity), entities.ENTITIES[entity], within=() if hot else (by,), packed=(by,))
+
     @functools.cached_property
     def state(self) -> str:
         """Which files there were when this object first wrote or read a derived table."""

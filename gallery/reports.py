@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gallery.base import Tables, example
 from gallery.oracle import with_ctes
 from gallery.star import Star
-from sparkmart.functions import dates
+from sparkmart.functions import dates, text
 from sparkmart.functions.numbers import ratio
 from sparkmart.operators.skew import hot_values, salted_join
 from sparkmart.plans import kpi, measures
@@ -99,9 +99,10 @@ def sales_measures_total(t: Tables):
 
 
 def _described(fact: DataFrame, dimension: DataFrame, key: str, label: str) -> DataFrame:
-    """Fact rows with one label of a dimension; members with many rows, like the unknown one, are spread over tasks."""
+    """Fact rows, their order ids packed, with one label of a dimension; members with many rows, like the unknown one, are spread over tasks."""
     hot = hot_values(fact, [key])[key]
-    return salted_join(fact, dimension.select(key, label), key, "inner", hot, ["order_id", "order_item_id"])
+    packed = fact.withColumn("order_id", text.packed_id(F.col("order_id")))
+    return salted_join(packed, dimension.select(key, label), key, "inner", hot, ["order_id", "order_item_id"])
 
 
 _CATEGORY = ["total_revenue", "total_items_sold", "avg_item_price", "freight_share", "total_orders"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -54,6 +55,26 @@ def is_code(c: Column, char_class: str, length: int) -> Column:
     return c.rlike(rf"\A[{char_class}]{{{length}}}\z")
 
 
+#: What follows the bytes of a text that is no id of 32 lower-case hex digits, so that it is longer than a packed id.
+_UNPACKED = bytes(17)
+
+
+def packed_id(c: Column) -> Column:
+    """An id of 32 lower-case hex digits as its 16 bytes, any other text as its own bytes and 17 more; different texts stay different."""
+    return F.when(is_code(c, "0-9a-f", 32), F.unhex(c)).otherwise(F.concat(c.cast("binary"), F.lit(_UNPACKED)))
+
+
+def unpacked_id(c: Column) -> Column:
+    """The text of a packed id."""
+    own = F.substring(c, F.lit(1), F.octet_length(c) - len(_UNPACKED))
+    return F.when(F.octet_length(c) == 16, F.lower(F.hex(c))).otherwise(own.cast("string"))
+
+
+def packed_value(value: str) -> bytes:
+    """One id as :func:`packed_id` packs it."""
+    return bytes.fromhex(value) if re.fullmatch("[0-9a-f]{32}", value) else value.encode() + _UNPACKED
+
+
 def label_of(c: Column, labels: Mapping[str, str]) -> Column:
     """The label of a code, or the code itself when it has none."""
     pairs = [F.lit(part) for pair in labels.items() for part in pair]

@@ -91,6 +91,7 @@ ORDERS = s.EntitySpec(
     ),
     order=(("order_purchase_timestamp", LAST), ("customer_id", FIRST)),
     rules=_orders_rules,
+    key_tests=1,
     admits=lambda: [is_hex_id("order_id"), is_hex_id("customer_id"), is_filled("order_status"),
                     is_present("order_purchase_timestamp"), is_present("order_estimated_delivery_date")],
 )
@@ -130,6 +131,7 @@ ORDER_ITEMS = s.EntitySpec(
     ),
     order=(("product_id", FIRST), ("seller_id", FIRST)),
     rules=_order_items_rules,
+    key_tests=2,
     admits=lambda: [is_hex_id("order_id"), is_digits("order_item_id"), is_hex_id("product_id"), is_hex_id("seller_id"),
                     is_present("shipping_limit_date"), is_present("price"), is_present("freight_value")],
 )
@@ -164,6 +166,7 @@ ORDER_PAYMENTS = s.EntitySpec(
     hashed=("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
     order=(("payment_type", FIRST),),
     rules=_order_payments_rules,
+    key_tests=2,
     admits=lambda: [is_hex_id("order_id"), is_present("payment_sequential"), is_filled("payment_type"),
                     is_present("payment_installments"), is_present("payment_value")],
 )
@@ -204,6 +207,7 @@ ORDER_REVIEWS = s.EntitySpec(
     ),
     order=(("review_creation_date", LAST), ("review_answer_timestamp", LAST), ("order_id", FIRST)),
     rules=_order_reviews_rules,
+    key_tests=1,
     admits=lambda: [is_hex_id("review_id"), is_hex_id("order_id"), is_present("review_score"),
                     is_present("review_creation_date"), is_present("review_answer_timestamp")],
 )

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sparkmart.functions import text
 from sparkmart.functions.numbers import ratio
 
 CREDIT_CARD_KEY = 1
@@ -133,7 +135,10 @@ def _evaluate(
     if any(p.combine != "sum" for p in used.values()):
         # Group by order first: distinct orders become rows to count, and no row is copied
         # once per distinct column.
-        per_order = fact.groupBy(*by, order_key).agg(*[p.rows.alias(n) for n, p in used.items()])
+        # A text id is moved packed.
+        named = F.col(order_key)
+        order = text.packed_id(named).alias(order_key) if fact.schema[order_key].dataType == T.StringType() else named
+        per_order = fact.groupBy(*by, order).agg(*[p.rows.alias(n) for n, p in used.items()])
         over = {
             "sum": lambda n: F.sum(n),
             "orders": lambda n: F.count_if(F.col(n) > 0),

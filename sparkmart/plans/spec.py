@@ -82,6 +82,8 @@ class EntitySpec:
     quoted_source: bool = False
     surplus_issue: str | None = None
     hash_charset: str | None = None
+    #: How many of ``admits``, from the first, read the key alone.
+    key_tests: int = 0
 
     @property
     def columns(self) -> list[str]:
@@ -124,16 +126,42 @@ def issues(clean: DataFrame, spec: EntitySpec) -> DataFrame:
     return found.unionByName(quality.duplicate_issues(classes, spec.key_label, spec.key_subject))
 
 
-def admit(clean: DataFrame, spec: EntitySpec) -> DataFrame:
+def _packed(clean: DataFrame, columns: Sequence[str], packed: Sequence[str]) -> DataFrame:
+    return clean.select(*[text.packed_id(F.col(c)).alias(c) if c in packed else F.col(c) for c in columns])
+
+
+def _with_good_keys(clean: DataFrame, spec: EntitySpec) -> DataFrame:
+    for test in spec.admits()[: spec.key_tests]:
+        clean = clean.where(test)
+    return clean
+
+
+def repeated(clean: DataFrame, spec: EntitySpec, packed: Sequence[str] = ()) -> list[int] | None:
+    """Digests of the keys with several rows, for :func:`admit`; keys that fail the tests on the key alone do not count."""
+    return quality.repeated_keys(_packed(_with_good_keys(clean, spec), spec.keys, packed), spec.keys)
+
+
+def admit(
+    clean: DataFrame,
+    spec: EntitySpec,
+    repeated: Sequence[int] | None = None,
+    within: Sequence[str] = (),
+    packed: Sequence[str] = (),
+) -> DataFrame:
     """The first row of every key, if it passes the admission tests.
 
-    Tests on the key alone move below the ranking, so bad keys are not shuffled. Nor are marks and hashes: rows that agree in all
-    fields are the same row, and the hash of the kept one is taken again.
+    Tests on the key alone come before the ranking, so bad keys are not shuffled. Nor are marks and hashes: rows that agree in all
+    fields are the same row, and the hash of the kept one is taken again. With what :func:`repeated` found in these rows only keys with
+    several rows are ranked; ``within`` as in :func:`quality.pick_first`. Keys named in ``packed`` are moved packed and stay so.
     """
-    first = quality.pick_first(clean.select(*spec.columns), spec.keys, spec.order)
-    for test in spec.admits():
+    rows = _packed(_with_good_keys(clean, spec), spec.columns, packed)
+    first = quality.pick_first(rows, spec.keys, spec.order, repeated, within)
+    first = first.withColumns({f"{c}__packed": F.col(c) for c in packed})
+    first = first.withColumns({c: text.unpacked_id(F.col(c)) for c in packed})
+    for test in spec.admits()[spec.key_tests :]:
         first = first.where(test)
-    stored = [(f.store(F.col(f.name)) if f.store else F.col(f.name)).alias(f.name) for f in spec.fields]
+    kept = {f.name: F.col(f"{f.name}__packed") if f.name in packed else f.store(F.col(f.name)) if f.store else F.col(f.name) for f in spec.fields}
+    stored = [value.alias(name) for name, value in kept.items()]
     digest = hashing.row_hash([F.col(c) for c in spec.hashed], spec.hash_charset)
     return first.select(*stored, digest.alias("row_hash"))
 

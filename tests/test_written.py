@@ -4,11 +4,15 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from gallery import runs
+from gallery import runs, star
 from gallery.base import Tables
 from gallery.refresh import _TwoLoads
-from sparkmart.plans import entities, spec
+from sparkmart.functions import text
+from sparkmart.operators import quality
+from sparkmart.plans import entities, mart, measures, spec
+from sparkmart.plans.lookups import order_status_dim
 
 
 @pytest.fixture
@@ -55,3 +59,62 @@ def test_a_refresh_publishes_only_what_its_fact_reads(tables):
     loads = _TwoLoads(tables, ("orders",))
     assert [*loads.before] == [*loads.after] == ["orders"]
     assert not os.path.exists(tables.place("table_cleansed_order_items"))
+
+
+def _shuffles(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_keys_with_one_row_are_neither_ranked_nor_shuffled(tables, monkeypatch):
+    clean = tables.clean("orders")
+    rows = tables.counted("orders")
+    assert not _shuffles(rows) and "Window" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(rows.collect()) == sorted(spec.admit(clean, entities.ORDERS).collect()) and rows.count() == 20
+    assert not _shuffles(tables.counted("order_payments"))
+
+
+def test_repeated_keys_are_still_ranked(spark):
+    order = [("a", "last"), ("b", "first")]
+    rows = spark.createDataFrame(
+        [("x", 2, "p"), ("x", 1, "q"), ("x", 1, None), ("y", None, "r"), (None, 5, "s"), (None, 4, "t"), ("z", 3, "u"), ("z", 3, "u")], "k string, a int, b string")
+    found = quality.repeated_keys(rows, ["k"])
+    assert len(found) == 3 and quality.repeated_keys(rows, ["k"], limit=2) is None
+    kept = sorted(map(repr, quality.pick_first(rows, ["k"], order).collect()))
+    assert len(kept) == 4
+    for given in (found, [r[0] for r in rows.selectExpr("xxhash64(k)").collect()]):
+        assert sorted(map(repr, quality.pick_first(rows, ["k"], order, given).collect())) == kept
+    assert sorted(map(repr, quality.pick_first(rows, ["k"], order, within=["k"]).collect())) == kept
+
+
+def test_items_are_moved_once_to_be_ranked_and_to_meet_their_orders(tables):
+    small = [tables.table("orders").limit(0)]  # dimensions hold the unknown member alone
+    items = tables.dealt("order_items", "order_id", {})
+    names = {d.name: d.empty(tables.spark, star.NOW) for d in (mart.DIM_CUSTOMER, mart.DIM_SELLER, mart.DIM_PRODUCT)}
+    dates = mart.covering_date_dim(small[0], "o_orderdate")
+    tables.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(_shuffles(items.join(tables.counted("orders", ("order_id",)), "order_id"))) == 2
+    finally:
+        tables.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sales = mart.fact_sales(items, tables.counted("orders", ("order_id",)), tables.counted("order_reviews"), dates, *names.values(), order_status_dim(tables.spark))
+    plain = mart.fact_sales(*[tables.cleansed(e) for e in ("order_items", "orders", "order_reviews")], dates, *names.values(), order_status_dim(tables.spark))
+    assert sorted(map(repr, sales.collect())) == sorted(map(repr, plain.collect())) and sales.count() == 60
+    # an order with many items leaves its items to be dealt by their whole key
+    assert "hashpartitioning(order_id#" in _shuffles(items)[0] and "order_item_id" not in _shuffles(items)[0]
+    assert "order_item_id" in _shuffles(tables.dealt("order_items", "order_id", {"a": 3}))[0]
+
+
+def test_ids_are_packed_without_loss(spark):
+    values = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "", " ", "a" * 16, "a" * 31, "a" * 33, "São Paulo", "\0" * 17, "\0" * 16, None]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", text.packed_id(F.col("v")).alias("p"))
+    found = rows.select("v", "p", text.unpacked_id(F.col("p")).alias("u")).collect()
+    assert all(r["u"] == r["v"] for r in found) and len({r["p"] and bytes(r["p"]) for r in found}) == len(values)
+    assert all(r["p"] is None or bytes(r["p"]) == text.packed_value(r["v"]) for r in found)
+    assert len(found[0]["p"]) == 16
+
+
+def test_distinct_orders_are_grouped_by_packed_ids(spark):
+    fact = spark.createDataFrame([("0" * 32, "a"), ("0" * 32, "a"), ("o1", "a"), (None, "a"), ("o1", "b")], "order_id string, kind string")
+    plan = measures.measure(fact, ["total_orders"], ["kind"])
+    assert "unhex" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, plan.collect())) == [("a", 3), ("b", 1)]
