@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gallery.standins import RAW, TABLES
 from sparkmart.plans import entities, spec
-from sparkmart.sources.tables import staging_folder
+from sparkmart.sources.tables import freed, staging_folder
 
 
 @dataclass(frozen=True)
@@ -105,9 +105,14 @@ class Tables:
         clean, described = self.clean(entity), entities.ENTITIES[entity]
         return spec.admit(clean, described, spec.repeated(clean, described, packed), packed=packed)
 
-    def dealt(self, entity: str, by: str, hot: Mapping) -> DataFrame:
-        """The cleansed rows, ranked where their packed id ``by`` sends them, for a join on it; ranked by their whole key if an id is heavy."""
-        return spec.admit(self.clean(entity), entities.ENTITIES[entity], within=() if hot else (by,), packed=(by,))
+    def dealt(self, entity: str, by: str, hot: Mapping, packed: Sequence[str] = ()) -> DataFrame:
+        """The cleansed rows, ranked where their packed id ``by`` sends them, for a join on it; ranked by their whole key if an id is heavy.
+
+        The other ids of ``packed`` are moved packed too; where an id is heavy they stay text, as ranking sorts by their text.
+        """
+        if hot:
+            return spec.admit(self.clean(entity), entities.ENTITIES[entity], packed=(by,))
+        return spec.admit(self.clean(entity), entities.ENTITIES[entity], within=(by,), packed=(by, *packed))
 
     @functools.cached_property
     def state(self) -> str:
@@ -121,10 +126,11 @@ class Tables:
         return f"{scratch(self.spark)}/sparkmart-{context}-{source}/{name}"
 
     def once(self, name: str, write: Callable[[str], None]) -> str:
-        """Let ``write`` fill a folder the first time it is asked for; returns the folder."""
+        """Let ``write`` fill a folder the first time it is asked for; returns the folder. What it shuffles is freed as each step ends."""
         path = self.place(name)
         if path not in _WRITTEN:
-            write(path)
+            with freed(self.spark):
+                write(path)
             _WRITTEN.add(path)
         return path
 
@@ -134,7 +140,7 @@ class Tables:
         Facts read dimensions and reports read facts, so neither is built again for every query. A written table also survives lost
         executors.
         """
-        path = self.once(f"table_{name}", lambda folder: build().write.mode("overwrite").parquet(folder))
+        path = self.once(f"table_{name}", lambda folder: build().write.mode("overwrite").option("compression", "zstd").parquet(folder))
         return self.spark.read.parquet(path)
 
     def published_entity(self, entity: str) -> DataFrame:

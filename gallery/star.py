@@ -57,7 +57,7 @@ class Star:
     def build_sales(self) -> DataFrame:
         counted, clean, packed = self.t.counted, self.t.clean, ("order_id",)
         hot = {**hot_values(clean("order_items"), ["order_id", "seller_id", "product_id"]), **hot_values(clean("orders"), ["customer_id"])}
-        items = self.t.dealt("order_items", "order_id", hot["order_id"])
+        items = self.t.dealt("order_items", "order_id", hot["order_id"], ("product_id", "seller_id"))
         return mart.fact_sales(
             items, counted("orders", packed), counted("order_reviews"), self.dates(), self.customers(), self.sellers(), self.products(),
             order_status_dim(self.t.spark), hot,

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Accented capitals and the plain letters that replace them.
 ACCENTED = "ÁÂÃÀÉÊÍÓÔÕÚÇÄËÜ"
@@ -75,6 +76,18 @@ def packed_value(value: str) -> bytes:
     return bytes.fromhex(value) if re.fullmatch("[0-9a-f]{32}", value) else value.encode() + _UNPACKED
 
 
+def packed(df: DataFrame, *ids: str) -> DataFrame:
+    """Rows with these ids packed, which halves what they add to a shuffle; they may be packed already."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({c: packed_id(F.col(c)) for c in ids if kinds[c] != T.BinaryType()})
+
+
+def packed_keys(hot: Mapping | Iterable) -> dict | list:
+    """Heavy ids as :func:`packed` rows have them."""
+    found = [k for k in hot if k is not None]
+    return {packed_value(k): hot[k] for k in found} if isinstance(hot, Mapping) else [packed_value(k) for k in found]
+
+
 def label_of(c: Column, labels: Mapping[str, str]) -> Column:
     """The label of a code, or the code itself when it has none."""
     pairs = [F.lit(part) for pair in labels.items() for part in pair]

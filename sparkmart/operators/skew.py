@@ -30,6 +30,20 @@ def hot_values(df: DataFrame, columns: Sequence[str], partitions: int | None = N
     }
 
 
+#: Most rows with unique keys that are sent to the tasks instead of dealing the other side by key.
+SENT = 500_000
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str, hot: Mapping | Iterable, spread: Sequence[str]) -> DataFrame:
+    """:func:`salted_join` where the right side has over ``SENT`` rows; with fewer it goes to the tasks and the left rows stay where they are.
+
+    The right side should be narrow and cheap to count, as a written table is.
+    """
+    if right.count() <= SENT:
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how, hot, spread)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

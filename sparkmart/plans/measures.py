@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,8 @@ CREDIT_CARD_KEY = 1
 class Part:
     """One ingredient of a measure.
 
-    ``rows`` aggregates fact rows. ``combine`` says how the results of one order become the
-    result of a group: ``sum`` adds them, ``orders`` counts orders with a positive value,
-    ``distinct`` counts different values.
+    With ``combine`` ``sum``, ``rows`` aggregates the fact rows of a group. With ``orders``, ``rows`` is a test and the orders with a row
+    that passes it are counted. With ``distinct``, ``rows`` aggregates the rows of one order and different values are counted.
     """
 
     rows: Column
@@ -45,15 +45,15 @@ def sales_parts() -> dict[str, Part]:
         "n_price": Part(F.count("price")),
         "n_freight": Part(F.count("freight_value")),
         "items": Part(F.count("*")),
-        "orders": Part(F.count("*"), "orders"),
+        "orders": Part(F.lit(True), "orders"),
         # an order belongs to one customer, so one value per order is enough
         "customers": Part(F.max("customer_key"), "distinct"),
         "on_time_rows": Part(F.count_if(variance <= 0)),
-        "very_early": Part(F.count_if(variance < -7), "orders"),
-        "on_time": Part(F.count_if(variance.between(-7, 0)), "orders"),
-        "slightly_late": Part(F.count_if(variance.between(1, 7)), "orders"),
-        "very_late": Part(F.count_if(variance > 7), "orders"),
-        "scored": Part(F.count("review_score"), "orders"),
+        "very_early": Part(variance < -7, "orders"),
+        "on_time": Part(variance.between(-7, 0), "orders"),
+        "slightly_late": Part(variance.between(1, 7), "orders"),
+        "very_late": Part(variance > 7, "orders"),
+        "scored": Part(F.col("review_score").isNotNull(), "orders"),
         **_days("purchase_to_delivery_days"),
         **_days("delivery_vs_estimate_days"),
         **_days("purchase_to_approval_hours"),
@@ -132,24 +132,40 @@ def _evaluate(
     known = {m.name: m for m in measures}
     chosen = [known[n] for n in names]
     used = {p: parts[p] for m in chosen for p in m.uses}
-    if any(p.combine != "sum" for p in used.values()):
-        # Group by order first: distinct orders become rows to count, and no row is copied
-        # once per distinct column.
-        # A text id is moved packed.
-        named = F.col(order_key)
-        order = text.packed_id(named).alias(order_key) if fact.schema[order_key].dataType == T.StringType() else named
-        per_order = fact.groupBy(*by, order).agg(*[p.rows.alias(n) for n, p in used.items()])
-        over = {
-            "sum": lambda n: F.sum(n),
-            "orders": lambda n: F.count_if(F.col(n) > 0),
-            "distinct": lambda n: F.count_distinct(F.col(n)),
-        }
-        grouped = per_order.groupBy(*by).agg(*[over[p.combine](n).alias(n) for n, p in used.items()])
+    sums = {n: p.rows for n, p in used.items() if p.combine == "sum"}
+    tests = {n: p.rows for n, p in used.items() if p.combine == "orders"}
+    values = {n: p.rows for n, p in used.items() if p.combine == "distinct"}
+    if tests or values:
+        grouped = _of_orders(fact, tests, values, by, order_key)
+        if sums:
+            # Sums shrink inside the tasks to a row a group, so they stay out of the rows that are moved for each order. A group
+            # has a row on either side; without fact rows there is none of sums.
+            whole = fact.groupBy(*by, F.lit(0).alias("_group")).agg(*[rows.alias(n) for n, rows in sums.items()]).drop("_group")
+            both = grouped.unionByName(whole, allowMissingColumns=True)
+            grouped = both.groupBy(*by).agg(*[F.max(n).alias(n) for n in used])
     else:
-        grouped = fact.groupBy(*by).agg(*[p.rows.alias(n) for n, p in used.items()])
+        grouped = fact.groupBy(*by).agg(*[rows.alias(n) for n, rows in sums.items()])
     return grouped.select(*by, *[m.value.alias(m.name) for m in chosen])
 
 
+def _of_orders(
+    fact: DataFrame, tests: Mapping[str, Column], values: Mapping[str, Column], by: Sequence[str], order_key: str
+) -> DataFrame:
+    """Per group the orders that pass each test and the different values of orders.
+
+    Grouped by order first: distinct orders become rows to count, and no row is copied once per distinct column. A row that is moved
+    has the order's id, packed if it is text, a bit for each test, and the values.
+    """
+    named = F.col(order_key)
+    order = text.packed_id(named).alias(order_key) if fact.schema[order_key].dataType == T.StringType() else named
+    bits = {n: 1 << i for i, n in enumerate(tests)}
+    passed = [F.when(test, F.lit(bits[n])).otherwise(F.lit(0)) for n, test in tests.items()]
+    mask = [F.bit_or(reduce(Column.bitwiseOR, passed)).alias("_passed")] if passed else []
+    per_order = fact.groupBy(*by, order).agg(*mask, *[rows.alias(n) for n, rows in values.items()])
+    counts = [F.count_if(F.col("_passed").bitwiseAND(F.lit(b)) > 0).alias(n) for n, b in bits.items()]
+    return per_order.groupBy(*by).agg(*counts, *[F.count_distinct(F.col(n)).alias(n) for n in values])
+
+
 def measure(fact: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Sales measures, one row per group of ``by`` (columns of the fact or joined dimensions)."""
     return _evaluate(fact, sales_measures(), sales_parts(), names, by)

@@ -152,10 +152,12 @@ def admit(
 
     Tests on the key alone come before the ranking, so bad keys are not shuffled. Nor are marks and hashes: rows that agree in all
     fields are the same row, and the hash of the kept one is taken again. With what :func:`repeated` found in these rows only keys with
-    several rows are ranked; ``within`` as in :func:`quality.pick_first`. Keys named in ``packed`` are moved packed and stay so.
+    several rows are ranked; ``within`` as in :func:`quality.pick_first`. Ids named in ``packed`` are moved packed and stay so; those
+    outside the key are sorted by their text.
     """
     rows = _packed(_with_good_keys(clean, spec), spec.columns, packed)
-    first = quality.pick_first(rows, spec.keys, spec.order, repeated, within)
+    shown = {c: text.unpacked_id(F.col(c)) for c in packed if c not in spec.keys}
+    first = quality.pick_first(rows, spec.keys, spec.order, repeated, within, shown)
     first = first.withColumns({f"{c}__packed": F.col(c) for c in packed})
     first = first.withColumns({c: text.unpacked_id(F.col(c)) for c in packed})
     for test in spec.admits()[spec.key_tests :]:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from gallery import runs, star
 from gallery.base import Tables
 from gallery.refresh import _TwoLoads
 from sparkmart.functions import text
-from sparkmart.operators import quality
+from sparkmart.operators import quality, skew
 from sparkmart.plans import entities, mart, measures, spec
 from sparkmart.plans.lookups import order_status_dim
+from sparkmart.sources.tables import freed
 
 
 @pytest.fixture
@@ -118,3 +120,78 @@ def test_distinct_orders_are_grouped_by_packed_ids(spark):
     plan = measures.measure(fact, ["total_orders"], ["kind"])
     assert "unhex" in plan._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, plan.collect())) == [("a", 3), ("b", 1)]
+
+
+def test_sums_are_not_moved_for_each_order(spark):
+    schema = ("kind string, order_id string, customer_key long, price decimal(10,2), freight_value decimal(10,2), total_value decimal(10,2), "
+              "delivery_vs_estimate_days int, review_score byte")
+    lines = [("a", "o1", 1, 10, 1, 11, -9, 5), ("a", "o1", 1, 20, 2, 22, 8, None), ("a", "o2", 1, 5, 0, 5, 0, None), ("a", None, 2, None, 1, None, None, 2),
+             (None, "o1", 1, 7, 1, 8, 3, None), ("b", "o3", None, 1, 1, 2, None, None)]
+    fact = spark.createDataFrame([tuple(Decimal(v) if 2 < i < 6 and v is not None else v for i, v in enumerate(r)) for r in lines], schema)
+    names = ["total_revenue", "total_orders", "total_items_sold", "avg_item_price", "on_time_delivery_rate", "orders_very_early", "orders_on_time",
+             "orders_slightly_late", "orders_very_late", "unique_customers", "review_submission_rate"]
+    found = measures.measure(fact, names, ["kind"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    per_order = [line for line in plan if "bit_or(" in line]
+    assert len(per_order) == 1 and "sum(" not in per_order[0] and "count(" not in per_order[0]
+    want = {
+        "a": (38, 3, 4, 35 / 3, 2 / 3, 1, 1, 0, 1, 2, 2 / 3),
+        "b": (2, 1, 1, 1.0, None, 0, 0, 0, 0, 0, 0.0),
+        None: (8, 1, 1, 7.0, 0.0, 0, 0, 1, 0, 1, 0.0),
+    }
+    for r in found.collect():
+        assert [None if v is None else pytest.approx(float(v)) for v in r[1:]] == [v if v is None else float(v) for v in want[r["kind"]]]
+    assert found.count() == 3
+    assert tuple(measures.measure(fact, ["total_orders", "total_items_sold", "unique_customers"]).first()) == (4, 6, 2)
+    assert tuple(measures.measure(fact.limit(0), ["total_orders", "total_revenue", "unique_customers"]).first()) == (0, None, 0)
+    assert measures.measure(fact.limit(0), names, ["kind"]).count() == 0
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_published_table_leaves_no_shuffled_rows(tables):
+    spark, key = tables.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = _shuffle_files(spark)
+    table = tables.published("dealt", lambda: tables.cleansed("order_items").repartition(5, "seller_id"))
+    assert not _shuffle_files(spark) - before
+    assert table.count() == 60 and spark.conf.get(key, None) is None
+    spark.conf.set(key, "false")
+    with freed(spark), freed(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == "false"
+    spark.conf.unset(key)
+
+
+def test_items_are_moved_with_packed_ids_and_ranked_by_text(spark, tables):
+    raw = [("0" * 32, "1", p, "f" * 32, "1997-01-01 00:00:00", price, "1.00")
+           for p, price in (("b" * 32, "3.00"), ("B" * 32, "2.00"), ("b" * 31, "4.00"))] + [("1" * 32, "1", "a" * 32, s, "1997-01-01 00:00:00", "5.00", "1.00") for s in ("2" * 32, "1" * 32)]
+    names = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
+    clean = spec.normalise(spark.createDataFrame(raw, names), entities.ORDER_ITEMS)
+    plain = spec.admit(clean, entities.ORDER_ITEMS)
+    ids = ("order_id", "product_id", "seller_id")
+    moved = spec.admit(clean, entities.ORDER_ITEMS, within=("order_id",), packed=ids)
+    shown = moved.withColumns({c: text.unpacked_id(F.col(c)) for c in ids})
+    assert sorted(map(repr, shown.collect())) == sorted(map(repr, plain.collect())) and shown.first()["seller_id"] == "1" * 32
+    dealt = tables.dealt("order_items", "order_id", {}, ids[1:])
+    below = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert below[below.index("RepartitionByExpression"):].count("unhex") >= 3
+    assert tables.dealt("order_items", "order_id", {"a": 3}, ids[1:]).schema["product_id"].dataType.typeName() == "string"
+
+
+def test_few_members_go_to_the_tasks(spark, monkeypatch, rows):
+    left = spark.createDataFrame([("a" * 32, 1), ("b", 2), (None, 3), ("c", 4)], "k string, v int")
+    right = spark.createDataFrame([("a" * 32, 7), ("b", 8), (None, 9)], "k string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("left", "inner"):
+            sent = skew.lookup_join(left, right, "k", how, (), ["v"])
+            assert not _shuffles(sent)
+            with monkeypatch.context() as m:
+                m.setattr(skew, "SENT", 2)
+                dealt = skew.lookup_join(left, right, "k", how, (), ["v"])
+            assert _shuffles(dealt) and rows(sent, "k", "v", "n") == rows(dealt, "k", "v", "n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
