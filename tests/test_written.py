@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from gallery import runs, star
+from gallery import refresh, runs, star
 from gallery.base import Tables
 from gallery.refresh import _TwoLoads
 from sparkmart.functions import text
@@ -195,3 +195,25 @@ def test_few_members_go_to_the_tasks(spark, monkeypatch, rows):
             assert _shuffles(dealt) and rows(sent, "k", "v", "n") == rows(dealt, "k", "v", "n")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_refresh_looks_for_heavy_values_in_written_tables_only(tables, monkeypatch, rows):
+    asked = []
+
+    def recorded(df, columns, *more):
+        asked.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return skew.hot_values(df, columns, *more)
+
+    monkeypatch.setattr(refresh, "hot_values", recorded)
+
+    def build(own, dims, hot):
+        assert set(hot) == {"order_id", "customer_id"}
+        day = F.date_format("order_purchase_timestamp", "yyyyMMdd").cast("int").alias("purchase_date_key")
+        orders = text.packed(mart.live(own["orders"]), "order_id").select("order_id", day)
+        lines = text.packed(mart.live(own["order_items"]), "order_id").select("order_id", "order_item_id", "price")
+        return lines.join(orders, "order_id").withColumn("order_id", text.unpacked_id(F.col("order_id")))
+
+    columns = {"order_items": ["order_id"], "orders": ["customer_id"]}
+    found = refresh._refreshed(tables, "fact_small", build, [], ("orders", "order_items"), "order_item_id", False, columns)
+    assert asked and not any("Join" in plan for plan in asked)
+    assert found.count() == 60
